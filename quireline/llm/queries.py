@@ -6,16 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import packing
+from quireline.llm import decontamination, packing, secrets
 from quireline.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest(secrets.scan(docs, secrets.word_ranks(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op9_secret_scan": op9_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS own
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+        ),
+        doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        size AS (SELECT DISTINCT n FROM win),
+        place AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS own FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size)),
+        hit AS (SELECT DISTINCT r, item_id, place.n, i FROM place JOIN win ON place.own = win.own AND place.n = win.n),
+        word AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hit) GROUP BY r),
+        items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN word USING (r) LEFT JOIN items USING (r)
+    """,
+}
