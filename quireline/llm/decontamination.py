@@ -78,7 +78,7 @@ def _scan(docs: DataFrame, block: dict[bytes, tuple[int, list[str]]], last: bool
     """doc_id, text, word_spans, item_ids -> the same with this block's matches; the last pass drops the text and maps spans."""
     shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
-    def one(text: bytes | None, spans: list[int], items: list[str]) -> tuple[int, list[int], list[str]]:
+    def one(automaton, text: bytes | None, spans: list[int], items: list[str]) -> tuple[int, list[int], list[str]]:
         w = words(text)
         if not w:
             return 0, spans, items
@@ -91,16 +91,13 @@ def _scan(docs: DataFrame, block: dict[bytes, tuple[int, list[str]]], last: bool
         own = _merged([*zip(spans[::2], spans[1::2], strict=True), *((i, i + n) for i, (_, (_, n, _)) in zip(at, found, strict=True))])
         return len(w), [x for s in own for x in s], sorted({*items, *(i for _, (_, _, ids) in found for i in ids)})
 
-    automaton = None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal automaton
         automaton = _automaton(key, shared.value) if shared.value else None
         for whole in batches:
             for begin in range(0, whole.num_rows, 512):
                 batch = whole.slice(begin, 512)
                 ids, texts, spans, items = (c.to_pylist() for c in batch.columns)
-                n, spans, items = ([*x] for x in zip(*map(one, texts, spans, items), strict=True)) if ids else ([], [], [])
+                n, spans, items = ([*x] for x in zip(*(one(automaton, *x) for x in zip(texts, spans, items, strict=True)), strict=True)) if ids else ([], [], [])
                 if last:
                     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                     yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array([original(t, s) for t, s in zip(texts, spans, strict=True)], kind)], ["doc_id", "n_words", "word_spans", "item_ids", "spans"])
