@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import decontamination, packing, quality, secrets, toxicity
+from quireline.llm import decontamination, neardup, packing, quality, secrets, toxicity
 from quireline.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents"), neardup.plan(3, 85))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.scan(docs, secrets.word_ranks(docs)))
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
