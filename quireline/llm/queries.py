@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import decontamination, fingerprints, linededup, neardup, packing, quality, secrets, toxicity
+from quireline.llm import decontamination, fingerprints, htmltext, linededup, neardup, packing, quality, secrets, toxicity
 from quireline.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), neardup.plan(3, 85))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.scan(docs, secrets.word_ranks(docs)))
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
