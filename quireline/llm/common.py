@@ -16,20 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder and cut from their lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which executors and driver share.
 
-    The folder is the session's own; only where none is set (tests, a laptop) a temporary one is made.
+    It is the session's own; only where none is set (tests, a laptop) a temporary one is made.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quireline-"))
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
-def ascii_lower(col):
-    """A-Z in lower case and nothing else, unlike lower(), which follows Unicode."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def durable(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder and cut from their lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def held_out(doc_id):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import decontamination, fingerprints, htmltext, linededup, neardup, packing, quality, secrets, toxicity
+from quireline.llm import decontamination, fingerprints, htmltext, linededup, neardup, packing, quality, rollups, secrets, toxicity
 from quireline.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_token_counts": op5_token_counts,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
