@@ -265,6 +265,17 @@ def rotated(image: np.ndarray, angle: float, keep_size: bool = False, fill: floa
     return sample(image, np.sin(a) * x + np.cos(a) * y + h / 2, np.cos(a) * x - np.sin(a) * y + w / 2, fill)
 
 
+def rotated_mask(mask: np.ndarray, angle: float) -> np.ndarray:
+    """A mask turned counter-clockwise about its centre within its frame, each pixel from its nearest one."""
+    h, w = mask.shape
+    a = np.radians(angle)
+    y, x = np.arange(h)[:, None] - h / 2, np.arange(w)[None] - w / 2
+    yy = np.rint(np.sin(a) * x + np.cos(a) * y + h / 2).astype(np.int32)
+    xx = np.rint(np.cos(a) * x - np.sin(a) * y + w / 2).astype(np.int32)
+    inside = (yy >= 0) & (yy < h) & (xx >= 0) & (xx < w)
+    return mask[np.clip(yy, 0, h - 1), np.clip(xx, 0, w - 1)] & inside
+
+
 def clahe(a: np.ndarray, clip: float = 2.0, tiles: int = 8) -> np.ndarray:
     """Equalised by tiles with a limit on contrast, blended between tiles."""
     h, w = a.shape

@@ -191,12 +191,11 @@ def skew_angle(image: np.ndarray, limit: float = 35.0) -> float:
     best, steps = 0.0, ((1.0, limit), (0.2, 6), (0.05, 2))
     if found:
         best, steps = weighted_median(*np.array(found).T), ((0.5, 8), (0.2, 3), (0.05, 1))
-    shade = (mask * 255).astype(np.uint8)
     for step, reach in steps:
         top = -1.0
         around = best
         for a in around + step * np.arange(-round(reach / step), round(reach / step) + 1):
-            s = projection_score(K.rotated(shade, a, keep_size=True, fill=0) > 127)
+            s = projection_score(K.rotated_mask(mask, a))
             if s > top:
                 top, best = s, float(a)
     return best

@@ -10,10 +10,10 @@ from quireline.raster.udfs import struct
 from quireline.schemas import PAGE_RASTER
 
 
-def text_lines(h: int = 240, w: int = 200, ink: int = 0, paper: int = 255) -> np.ndarray:
+def text_lines(h: int = 480, w: int = 400, ink: int = 0, paper: int = 255) -> np.ndarray:
     a = np.full((h, w), paper, np.uint8)
-    for k, y in enumerate(range(24, h - 28, 12)):
-        a[y : y + 4, 20 : w - 20 - (k * 37) % 50] = ink
+    for k, y in enumerate(range(40, h - 48, 36)):
+        a[y : y + 10, 40 : w - 40 - (k * 37) % 90] = ink
     return a
 
 
@@ -24,7 +24,7 @@ def drawn() -> dict[str, np.ndarray]:
     table[20:220:25, 10:190] = 0
     table[20:220, 10:190:30] = 0
     line = text_lines()
-    line[120:123] = 0
+    line[240:243] = 0
     band = text_lines()
     band[:, :6] = 0
     small = np.zeros((200, 200), np.uint8)

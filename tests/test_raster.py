@@ -84,7 +84,7 @@ def test_pdf_round_trip(spark, tmp_path):
     content = pdf.written([(a.shape[1], a.shape[0], 1, a.tobytes())] * 2)
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.PDF").write_bytes(content)
-    (tmp_path / "in" / "b.pdf").write_bytes(b"")
+    (tmp_path / "in" / "b.pdf").write_bytes(b"%PD")
     (tmp_path / "in" / "c.txt").write_bytes(b"a\xffb")
     got = pdf.split(files.pdfs(spark, str(tmp_path / "in"))).orderBy("path", "page_no").collect()
     assert [(r.path[-5:], r.page_no, r.error is None) for r in got] == [("a.PDF", 1, True), ("a.PDF", 2, True), ("b.pdf", None, False)]
