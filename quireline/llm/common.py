@@ -33,6 +33,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of keys, places and the like that may be broadcast; beyond so many a join is shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A durable table, marked for broadcast where its rows, counted, are few."""
+    df = durable(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def held_out(doc_id):
     """Rows never learned from: crc32 of the id as text leaves no rest by five."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -5,8 +5,8 @@ the earlier one stays as well: each line emits a key for every word left out, ma
 it, and a key for every place where a word could have been put in. Two lines share a key if and only if they are at most
 one word apart, so a key's earliest line decides for the others, and no pairs within a key are listed.
 
-Only lines that share a half with another one can be that close, so only those emit keys: of two lines one word apart,
-the words before the middle or those behind it are the same.
+Only lines that share all but a third with another one can be that close, so only those emit keys: the word that two lines
+differ in lies within one third, and the words before and behind that third are the same.
 """
 
 from __future__ import annotations
@@ -14,13 +14,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quireline.llm.common import durable
+from quireline.llm.common import durable, small
 
 #: Lines of fewer words are never removed.
 LEAST_WORDS = 5
 #: Lines of fewer words are removed only if all their words are the same.
 LEAST_WORDS_NEAR = 10
 
+#: Parts of a line of which all but one must be shared.
+PARTS = 3
+
 _AT = ["doc_id", "row", "line_no"]
 
 
@@ -34,12 +37,15 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
-def _halves(words: Column, n: Column) -> list[Column]:
-    """Hashes of the words before the middle and behind it; of an even number both middles count, so that a line meets those of one word more or less."""
+def _shares(words: Column, n: Column) -> list[Column]:
+    """Hashes of the words before and behind each third of the line, and of a line one word shorter, so that a line meets
+    those of as many words and those of one word more or less."""
     out = []
-    for half, also in ((F.floor(n / 2), F.lit(True)), (F.floor((n - 1) / 2), n % 2 == 0)):
-        half = half.cast("int")
-        out += [F.when(also, F.xxhash64(F.lit("<"), half, F.slice(words, F.lit(1), half))), F.when(also, F.xxhash64(F.lit(">"), half, F.slice(words, n - half + 1, half)))]
+    for size in (n, n - 1):
+        cut = [F.floor(size * q / PARTS).cast("int") for q in range(PARTS + 1)]
+        for q in range(PARTS):
+            behind = size - cut[q + 1]
+            out.append(F.xxhash64(size, F.lit(q), F.slice(words, F.lit(1), cut[q]), F.slice(words, n - behind + 1, behind)))
     return out
 
 
@@ -48,10 +54,10 @@ def _firsts(docs: DataFrame) -> DataFrame:
     lines = _rows(docs).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words")).where(F.col("n") >= LEAST_WORDS)
     near = F.col("n") >= LEAST_WORDS_NEAR
-    halves = [F.when(near, h).alias(f"half{k}") for k, h in enumerate(_halves(F.col("words"), F.col("n")))]
-    own = lines.select(*_AT, F.xxhash64(F.trim("line")).alias("h"), F.hash(F.trim("line")).alias("g"), *halves)
-    first = own.groupBy("h", "g").agg(F.min(F.struct(*_AT)).alias("first"), *(F.min(f"half{k}").alias(f"half{k}") for k in range(4)))
-    return first.select("h", "first.*", *(f"half{k}" for k in range(4)))
+    shares = [F.when(near, h).alias(f"share{k}") for k, h in enumerate(_shares(F.col("words"), F.col("n")))]
+    own = lines.select(*_AT, F.xxhash64(F.trim("line")).alias("h"), F.hash(F.trim("line")).alias("g"), *shares)
+    first = own.groupBy("h", "g").agg(F.min(F.struct(*_AT)).alias("first"), *(F.min(f"share{k}").alias(f"share{k}") for k in range(2 * PARTS)))
+    return first.select("h", "first.*", *(f"share{k}" for k in range(2 * PARTS)))
 
 
 def _sided(words: Column) -> Column:
@@ -79,50 +85,55 @@ def _one_apart(a: Column, b: Column) -> Column:
 
 def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Places of the distinct lines that have an earlier distinct line one word apart."""
-    halves = firsts.select("h", F.explode(F.array_compact(F.array(*(f"half{k}" for k in range(4))))).alias("half"))
-    shared = halves.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("half")
-    may = halves.join(shared, "half", "left_semi").select("h").distinct()
-    places = firsts.join(may, "h", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("line_nos"))
+    shares = firsts.select("h", F.explode(F.array_compact(F.array(*(f"share{k}" for k in range(2 * PARTS))))).alias("share"))
+    shared = durable(shares.groupBy("share").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("n")).where("n > 1"))
+    two = shared.select(F.explode(F.array("lo", "hi")).alias("h"))
+    more = shares.join(small(shared.where("n > 2").select("share")), "share", "left_semi").select("h")  # of larger groups, those between the two
+    may = small(two.union(more).distinct())
+    places = small(firsts.join(may, "h", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("line_nos")))
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.row") == F.col("p.row"))
     texts = _rows(docs).alias("d").join(places.alias("p"), same)
     lines = texts.select("d.doc_id", "d.row", F.explode("line_nos").alias("line_no"), F.split("text", "\n").alias("all"))
-    lines = durable(lines.select(*_AT, _words(F.element_at("all", F.col("line_no") + 1)).alias("words")).dropDuplicates(_AT))
+    lines = lines.select(*_AT, _words(F.element_at("all", F.col("line_no") + 1)).alias("words")).dropDuplicates(_AT)
+    lines = durable(lines.withColumn("line", F.monotonically_increasing_id()))
 
-    sided = lines.select(*_AT, _sided(F.col("words")).alias("before"), F.reverse(_sided(F.reverse("words"))).alias("after"))
-    # before[k] has k words; after[k] has the words from the k-th on, counted from 0; both arrays are indexed from 0 here
+    sided = lines.select("line", _sided(F.col("words")).alias("before"), F.reverse(_sided(F.reverse("words"))).alias("after"))
+    # before[k] hashes the first k words, after[k] those behind the first k
     left_out = F.expr("transform(sequence(1, size(before) - 1), i -> xxhash64(before[i - 1], after[i]))")
     put_in = F.expr("transform(sequence(0, size(before) - 1), i -> xxhash64(before[i], after[i]))")
-    keyed = sided.select(*_AT, F.explode(F.concat(left_out, put_in)).alias("key"))
-    met = keyed.groupBy("key").agg(F.min(F.struct(*_AT)).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    met = durable(met)
-    pairs = keyed.join(met, "key").select(F.struct(*_AT).alias("at"), "first").where("at > first").distinct()
-    a = lines.select(F.struct(*_AT).alias("at"), F.col("words").alias("own"))
-    b = lines.select(F.struct(*_AT).alias("first"), F.col("words").alias("earlier"))
-    sure = pairs.join(a, "at").join(b, "first").where(_one_apart(F.col("own"), F.col("earlier")))
-    return sure.select("at.*").distinct()
+    keyed = sided.select("line", F.explode(F.concat(left_out, put_in)).alias("key"))
+    met = small(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    members = durable(keyed.join(met, "key").join(lines.select("line", F.struct(*_AT).alias("at"), "words"), "line"))
+    least = members.groupBy("key").agg(F.min(F.struct("at", "words")).alias("least"))
+    near = members.join(durable(least), "key").where(F.col("at") > F.col("least.at"))
+    return near.where(_one_apart(F.col("words"), F.col("least.words"))).select("at.*").distinct()
 
 
-def dedup(docs: DataFrame, near: bool = True) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_dropped`` and the ``text`` of the lines that stay, for each row of ``docs``.
+def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
+    """``docs`` with the ``text`` of the lines that stay, ``_n_lines`` and ``_n_dropped``; every other column and row is kept.
 
     Lines end with a line feed and are compared by their words, that is without the spaces around them; earlier is by
     doc_id, then by place. Lines of fewer than ``LEAST_WORDS`` words always stay, so blank ones do. A null text stays null
-    and has no lines. Rows that repeat both id and text count as one and are answered alike. Other columns aren't read.
+    and has no lines. Rows that repeat both id and text count as one and are answered alike.
     """
     firsts = durable(_firsts(docs))
     marks = firsts.select(*_AT, F.lit(True).alias("first"))
     if near:
         marks = marks.unionByName(near_lines(docs, firsts).withColumn("first", F.lit(False)))
     marks = marks.groupBy("doc_id", "row").agg(F.collect_list(F.when(F.col("first"), F.col("line_no"))).alias("firsts"), F.collect_list(F.when(~F.col("first"), F.col("line_no"))).alias("nears"))
-    own = _rows(docs).alias("d").join(marks.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.row").eqNullSafe(F.col("m.row")), "left")
-    own = own.select("d.doc_id", "d.text", F.split("d.text", "\n").alias("lines"), F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"), F.coalesce("nears", F.array().cast("array<int>")).alias("nears"))
-    short = F.expr(f"filter(sequence(0, size(lines) - 1), i -> size(split(trim(lines[i]), ' ')) < {LEAST_WORDS})")
-    stay = F.array_sort(F.array_except(F.concat(short, "firsts"), "nears"))
-    own = own.withColumn("stay", stay)
-    there = F.col("text").isNotNull()
-    return own.select(
-        "doc_id",
-        F.when(there, F.size("lines")).otherwise(0).cast("long").alias("n_lines"),
-        F.when(there, F.size("lines") - F.size("stay")).otherwise(0).cast("long").alias("n_dropped"),
-        F.array_join(F.expr("transform(stay, i -> lines[i])"), "\n").alias("text"),
-    )
+    marks = marks.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("firsts").alias("_firsts"), F.col("nears").alias("_nears"))
+    text = F.col("text").cast("string")
+    own = docs.join(marks, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & F.xxhash64(text).eqNullSafe(F.col("_row")), "left")
+    none = F.array().cast("array<int>")
+    own = own.withColumn("_lines", F.split(text, "\n"))
+    short = F.expr(f"filter(sequence(0, size(_lines) - 1), i -> size(split(trim(_lines[i]), ' ')) < {LEAST_WORDS})")
+    own = own.withColumn("_stay", F.array_sort(F.array_except(F.concat(short, F.coalesce("_firsts", none)), F.coalesce("_nears", none))))
+    there = text.isNotNull()
+    kept = [F.array_join(F.expr("transform(_stay, i -> _lines[i])"), "\n").alias("text") if c == "text" else docs[c] for c in docs.columns]
+    n_dropped = F.when(there, F.size("_lines") - F.size("_stay")).otherwise(0).cast("long")
+    return own.select(*kept, F.when(there, F.size("_lines")).otherwise(0).cast("long").alias("_n_lines"), n_dropped.alias("_n_dropped"))
+
+
+def dedup(docs: DataFrame, near: bool = True) -> DataFrame:
+    """``doc_id``, ``n_lines``, ``n_dropped`` and the ``text`` of the lines that stay, for each row; see ``cleaned``."""
+    return cleaned(docs.select("doc_id", "text"), near).select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
