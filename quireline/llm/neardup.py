@@ -327,5 +327,7 @@ def _forests(rows: DataFrame, p: Plan) -> DataFrame:
 
 def dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows whose component has a lesser id; of rows that repeat an id as well, one stays."""
-    kept = link(docs, plan(k, percent)).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(*docs.columns)
+    kept = durable(link(docs, plan(k, percent)).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")))
+    if kept.where("rows > 1").limit(1).count():
+        docs = docs.dropDuplicates(["doc_id"])
+    return docs.join(kept.select(F.col("doc_id").alias("_id")), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
