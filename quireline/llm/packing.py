@@ -86,7 +86,6 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 
     plan = []
     while top := largest(capacity):
-        held[:] = 0
         bin_, gap = [], capacity
         while gap and (length := largest(min(gap, top))):
             bin_.append(length)
@@ -104,6 +103,7 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
         used = np.flatnonzero(held)
         times = int((left[used] // held[used]).min())
         left[used] -= times * held[used]
+        held[:] = 0
         plan.append((tuple(bin_), times))
     return plan
 
