@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quireline.operators.rules import thresholds
@@ -22,16 +22,32 @@ GRID = {
 }
 
 
+MEASURES = ("pct80", "median_ocr_conf", "bbox_area_text_frac", "conf_iqr", "line_height_var")
+
+
+def _levels(grid: dict[str, tuple[float, ...]]) -> list[Column]:
+    """Where a row's measures lie among all thresholds that they are held against: rows of equal levels are always judged alike."""
+    at_least = lambda name, *values: sum(((F.col(name) >= v).cast("int") for v in values), F.lit(0))
+    over = lambda name, *values: sum(((F.col(name) > v).cast("int") for v in values), F.lit(0))
+    return [
+        at_least("pct80", *grid["pct80_failed"], *grid["pct80_good"], 0.4).alias("a"),
+        at_least("median_ocr_conf", *grid["conf_failed"], *grid["conf_good"], 70.0).alias("b"),
+        at_least("bbox_area_text_frac", *grid["bbox_failed"], *grid["bbox_good"]).alias("c"),
+        over("conf_iqr", *grid["conf_iqr_max"], 25.0).alias("d"),
+        over("line_height_var", *grid["line_var_max"]).alias("e"),
+    ]
+
+
 def search(rows: DataFrame, label: str = "label", grid: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
     """seq, parameters, n, n_correct and accuracy of every combination; seq is its order in nested loops.
 
-    The grid is of a stated size and is joined to rows of equal measures, which are counted first.
+    Rows that all combinations judge alike are counted first, so what meets the grid, which is of a stated size, is bounded
+    by the levels of the measures and not by the rows.
     """
     grid = grid or GRID
     spark = rows.sparkSession
     combinations = spark.createDataFrame([(k, *c) for k, c in enumerate(product(*grid.values()))], "seq int, " + ", ".join(f"{g} double" for g in grid))
-    measures = ("pct80", "median_ocr_conf", "bbox_area_text_frac", "conf_iqr", "line_height_var")
-    alike = rows.groupBy(*measures, label).agg(F.count("*").alias("rows"))
+    alike = rows.groupBy(*_levels(grid), label).agg(F.min(F.struct(*MEASURES)).alias("m"), F.count("*").alias("rows")).select("m.*", label, "rows")
     said = thresholds(*(F.col(g) for g in GRID))
     tried = alike.crossJoin(F.broadcast(combinations)).groupBy("seq", *grid).agg(F.sum("rows").alias("n"), F.sum(F.when(said == F.col(label), F.col("rows")).otherwise(0)).alias("n_correct"))
     return tried.withColumn("accuracy", F.round(F.col("n_correct") / F.col("n"), 9))
