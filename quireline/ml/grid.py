@@ -41,13 +41,13 @@ def _levels(grid: dict[str, tuple[float, ...]]) -> list[Column]:
 def search(rows: DataFrame, label: str = "label", grid: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
     """seq, parameters, n, n_correct and accuracy of every combination; seq is its order in nested loops.
 
-    Rows that all combinations judge alike are counted first, so what meets the grid, which is of a stated size, is bounded
-    by the levels of the measures and not by the rows.
+    Rows that all combinations judge alike are counted first, so what every combination meets is bounded by the levels of the
+    measures and not by the rows.
     """
     grid = grid or GRID
     spark = rows.sparkSession
     combinations = spark.createDataFrame([(k, *c) for k, c in enumerate(product(*grid.values()))], "seq int, " + ", ".join(f"{g} double" for g in grid))
     alike = rows.groupBy(*_levels(grid), label).agg(F.min(F.struct(*MEASURES)).alias("m"), F.count("*").alias("rows")).select("m.*", label, "rows")
     said = thresholds(*(F.col(g) for g in GRID))
-    tried = alike.crossJoin(F.broadcast(combinations)).groupBy("seq", *grid).agg(F.sum("rows").alias("n"), F.sum(F.when(said == F.col(label), F.col("rows")).otherwise(0)).alias("n_correct"))
+    tried = combinations.join(F.broadcast(alike)).groupBy("seq", *grid).agg(F.sum("rows").alias("n"), F.sum(F.when(said == F.col(label), F.col("rows")).otherwise(0)).alias("n_correct"))
     return tried.withColumn("accuracy", F.round(F.col("n_correct") / F.col("n"), 9))
