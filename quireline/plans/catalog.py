@@ -55,7 +55,7 @@ def ocr(t: Tables) -> DataFrame:
 def page_rasters(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     return t("orders").select(
-        F.col("o_custkey").alias("path"), k.alias("page_no"), (F.floor("o_totalprice") % 2000).cast("double").alias("blur"), ((k % 37) / 100).alias("text_density"),
+        F.col("o_custkey").alias("path"), k.alias("page_no"), (F.floor("o_totalprice") % 2000).cast("double").alias("blur"), ((k % 37) / 101).alias("text_density"),
         (0.3 + (k % 70) / 100).alias("roi_frac"), ((k % 100) / 100).alias("core_frac"), ((k % 16) * 0.9).alias("skew_deg"), (k % 5 == 0).alias("is_table"),
     )
 
@@ -102,7 +102,7 @@ _OCR = """ocr AS (
     FROM gaps GROUP BY path, page_no)"""
 _DOC = f"""{_OCR},
   pg AS (
-    SELECT o_custkey AS path, o_orderkey AS page_no, CAST(CAST(floor(o_totalprice) AS BIGINT) % 2000 AS DOUBLE) AS blur, CAST(o_orderkey % 37 AS DOUBLE) / 100 AS text_density,
+    SELECT o_custkey AS path, o_orderkey AS page_no, CAST(CAST(floor(o_totalprice) AS BIGINT) % 2000 AS DOUBLE) AS blur, CAST(o_orderkey % 37 AS DOUBLE) / 101 AS text_density,
            0.3::DOUBLE + CAST(o_orderkey % 70 AS DOUBLE) / 100 AS roi_frac, CAST(o_orderkey % 100 AS DOUBLE) / 100 AS core_frac, CAST(o_orderkey % 16 AS DOUBLE) * 0.9::DOUBLE AS skew_deg, o_orderkey % 5 = 0 AS is_table
     FROM orders),
   doc AS (
@@ -266,11 +266,11 @@ def topk_importance(t):
     return gains.unpivot([], gains.columns, "feature", "score").orderBy(F.desc("score"), "feature").limit(10)
 
 
-@query(f"""WITH {_DOC} SELECT path, round(mean_ocr_conf - median_ocr_conf, 6) AS conf_range, round(avg_blur / (words_count + 1), 6) AS blur_per_word, round(text_density * median_ocr_conf, 6) AS density_per_conf,
-    round(pct80 * pct80, 6) AS pct80_squared, round(ln(1 + median_ocr_conf), 6) AS conf_log, round(ln(1 + words_count), 6) AS words_log, round(ln(1 + bbox_area_text_frac * 1000), 6) AS bbox_area_log,
-    round(line_height_var / (line_height_med + 1), 6) AS line_height_cv, round(line_spacing_var / (line_spacing_med + 1), 6) AS line_spacing_cv FROM doc""")
+@query(f"""WITH {_DOC} SELECT path, round(round(mean_ocr_conf - median_ocr_conf, 9), 6) AS conf_range, round(round(avg_blur / (words_count + 1), 9), 6) AS blur_per_word, round(round(text_density * median_ocr_conf, 9), 6) AS density_per_conf,
+    round(round(pct80 * pct80, 9), 6) AS pct80_squared, round(round(ln(1 + median_ocr_conf), 9), 6) AS conf_log, round(round(ln(1 + words_count), 9), 6) AS words_log, round(round(ln(1 + bbox_area_text_frac * 1000), 9), 6) AS bbox_area_log,
+    round(round(line_height_var / (line_height_med + 1), 9), 6) AS line_height_cv, round(round(line_spacing_var / (line_spacing_med + 1), 9), 6) AS line_spacing_cv FROM doc""")
 def derived_features(t):
-    return rounded(features.derived(documents(t)).select("path", *features.DERIVED))
+    return features.derived(documents(t)).select("path", *(F.round(F.round(d, 9), 6).alias(d) for d in features.DERIVED))
 
 
 _SMALL = {g: v[1:3] for g, v in grid.GRID.items()}
@@ -314,11 +314,11 @@ def kfold_assign(t):
     return reports.folds(own, "label", F.col("key")).select("path", "label", "fold")
 
 
-@query(f"WITH {_DOC}, s AS (SELECT avg(avg_blur) AS m, stddev_pop(avg_blur) AS s FROM doc) SELECT path, round((avg_blur - m) / s, 6) AS avg_blur FROM doc, s")
+@query(f"WITH {_DOC}, s AS (SELECT avg(avg_blur) AS m, stddev_pop(avg_blur) AS s FROM doc) SELECT path, round(round((avg_blur - m) / s, 9), 6) AS avg_blur FROM doc, s")
 def standardize(t):
     docs = documents(t).select("path", "avg_blur")
     stats = docs.agg(F.avg("avg_blur").alias("m"), F.stddev_pop("avg_blur").alias("s"))
-    return docs.crossJoin(F.broadcast(stats)).select("path", F.round(F.when(F.col("s") == 0, 0.0).otherwise((F.col("avg_blur") - F.col("m")) / F.col("s")), 6).alias("avg_blur"))
+    return docs.crossJoin(F.broadcast(stats)).select("path", F.round(F.round(F.when(F.col("s") == 0, 0.0).otherwise((F.col("avg_blur") - F.col("m")) / F.col("s")), 9), 6).alias("avg_blur"))
 
 
 # --- texts
