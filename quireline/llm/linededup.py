@@ -121,17 +121,17 @@ def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
     if near:
         marks = marks.unionByName(near_lines(docs, firsts).withColumn("first", F.lit(False)))
     marks = marks.groupBy("doc_id", "row").agg(F.collect_list(F.when(F.col("first"), F.col("line_no"))).alias("firsts"), F.collect_list(F.when(~F.col("first"), F.col("line_no"))).alias("nears"))
-    marks = marks.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("firsts").alias("_firsts"), F.col("nears").alias("_nears"))
+    marks = marks.select(F.col("doc_id").alias("_quireline_id"), F.col("row").alias("_quireline_row"), F.col("firsts").alias("_quireline_firsts"), F.col("nears").alias("_quireline_nears"))
     text = F.col("text").cast("string")
-    own = docs.join(marks, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & F.xxhash64(text).eqNullSafe(F.col("_row")), "left")
+    own = docs.join(marks, docs["doc_id"].cast("long").eqNullSafe(F.col("_quireline_id")) & F.xxhash64(text).eqNullSafe(F.col("_quireline_row")), "left")
     none = F.array().cast("array<int>")
-    own = own.withColumn("_lines", F.split(text, "\n"))
-    short = F.expr(f"filter(sequence(0, size(_lines) - 1), i -> size(split(trim(_lines[i]), ' ')) < {LEAST_WORDS})")
-    own = own.withColumn("_stay", F.array_sort(F.array_except(F.concat(short, F.coalesce("_firsts", none)), F.coalesce("_nears", none))))
+    own = own.withColumn("_quireline_lines", F.split(text, "\n"))
+    short = F.expr(f"filter(sequence(0, size(_quireline_lines) - 1), i -> size(split(trim(_quireline_lines[i]), ' ')) < {LEAST_WORDS})")
+    own = own.withColumn("_quireline_stay", F.array_sort(F.array_except(F.concat(short, F.coalesce("_quireline_firsts", none)), F.coalesce("_quireline_nears", none))))
     there = text.isNotNull()
-    kept = [F.array_join(F.expr("transform(_stay, i -> _lines[i])"), "\n").alias("text") if c == "text" else docs[c] for c in docs.columns]
-    n_dropped = F.when(there, F.size("_lines") - F.size("_stay")).otherwise(0).cast("long")
-    return own.select(*kept, F.when(there, F.size("_lines")).otherwise(0).cast("long").alias("_n_lines"), n_dropped.alias("_n_dropped"))
+    kept = [F.array_join(F.expr("transform(_quireline_stay, i -> _quireline_lines[i])"), "\n").alias("text") if c == "text" else docs[c] for c in docs.columns]
+    n_dropped = F.when(there, F.size("_quireline_lines") - F.size("_quireline_stay")).otherwise(0).cast("long")
+    return own.select(*kept, F.when(there, F.size("_quireline_lines")).otherwise(0).cast("long").alias("_n_lines"), n_dropped.alias("_n_dropped"))
 
 
 def dedup(docs: DataFrame, near: bool = True) -> DataFrame:

@@ -330,4 +330,4 @@ def dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     kept = durable(link(docs, plan(k, percent)).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")))
     if kept.where("rows > 1").limit(1).count():
         docs = docs.dropDuplicates(["doc_id"])
-    return docs.join(kept.select(F.col("doc_id").alias("_id")), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    return docs.join(kept.select(F.col("doc_id").alias("_quireline_id")), docs["doc_id"].cast("long").eqNullSafe(F.col("_quireline_id")), "left_semi")
