@@ -40,13 +40,42 @@ GAPS = " .-_*'~,"
 _ALPHABET = len(LETTERS) + 2  # 0 is the edge of a word, the last anything else
 _CODE = {c: k for k, c in enumerate(LETTERS, 1)}
 _LOOK = re.escape("".join(LOOKS))
-_SUSPICIOUS = re.compile(
+_SPACED = re.compile(r"(?:[^\W_]|[@$!|])(?:[ .\-_*~](?:[^\W_]|[@$!|])){3,}(?!\w)")  # letters spaced out
+_IN_TOKEN = re.compile(
     rf"(?<!\S)[^\W\d_]{{0,24}}(?:[{_LOOK}]{{1,2}}[^\W\d_]{{1,24}}){{1,6}}[{_LOOK}]?(?!\w)"  # look-alikes before or between letters
     rf"|(?<!\S)[^\W\d_]{{2,24}}[0-9@$](?![\w@$])"  # one at the end
-    rf"|(?<!\S)(?:[^\W_]|[@$!|])(?:[ .\-_*~](?:[^\W_]|[@$!|])){{3,}}(?!\w)"  # letters spaced out
-    rf"|(?<!\S)[^\W\d_]+(?:[.\-_*~][^\W\d_]+){{1,8}}(?!\w)"  # or broken up
+    rf"|(?<!\S)[^\W\d_]+(?:[.\-_*~][^\W\d_]+){{1,8}}(?!\w)"  # broken up
     r"|[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*"  # drawn out
 )
+# What the patterns above can't do without, quick to look for: a sign beside a letter; a letter alone beside others.
+_SIGN = re.compile(rf"[{_LOOK}.\-_~](?:(?=[^\W\d_])|(?<=[^\W\d_][0-9@$])(?![\w@$]))")
+_ALONE = re.compile(r"\s(?=(?:[^\W_]|[@$!|])(?:[ .\-_*~](?:[^\W_]|[@$!|])){3})")
+_TOKEN_END = re.compile(r"\s|\Z")
+
+
+def suspicious(low: str) -> list[str]:
+    """Runs of a lower-case text that may be disguised, in order."""
+    text = f" {low} "
+    found: dict[int, tuple[int, str]] = {}
+    for m in _ALONE.finditer(text):
+        if own := _SPACED.match(text, m.end()):
+            found.setdefault(m.end(), (own.end(), own[0]))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    same = codes[1:] == codes[:-1]
+    drawn = np.flatnonzero(same[1:] & same[:-1] & ((codes[2:] >= 97) & (codes[2:] <= 122) | (codes[2:] >= 0xC0)))
+    last = -1
+    for at in sorted([*(m.start() for m in _SIGN.finditer(text)), *drawn.tolist()]):
+        if at >= last:
+            start = max(text.rfind(" ", 0, at), text.rfind("\n", 0, at), text.rfind("\t", 0, at)) + 1
+            last = _TOKEN_END.search(text, at).start()
+            for m in _IN_TOKEN.finditer(text[start:last]):
+                found.setdefault(start + m.start(), (start + m.end(), m[0]))
+    out, end = [], -1
+    for start in sorted(found):
+        if start >= end:
+            end = found[start][0]
+            out.append(found[start][1])
+    return out
 
 
 # --- the character model
@@ -141,7 +170,7 @@ def restored(text: str | None, read) -> str:
     if not text:
         return ""
     low = text.lower()
-    more = [r for m in _SUSPICIOUS.finditer(low) for k in range(0, len(m[0]), RUN) for r in read(m[0][k : k + RUN]) if r != m[0]]
+    more = [r for run in suspicious(low) for k in range(0, len(run), RUN) for r in read(run[k : k + RUN]) if r != run]
     return f"{low} {' '.join(more)}" if more else low
 
 
