@@ -1,8 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A document is the average of learned vectors of its hashed words and character n-grams; a softmax over that average
-says how good it is. Vectors and output are trained by plain stochastic gradient descent in numpy, on the driver,
-over a bounded sample of labelled rows whose features executors have counted. Because the output is linear in the
+says how good it is. Vectors and output are trained by plain stochastic gradient descent in numpy, in one task over a
+bounded sample of labelled rows whose features other tasks have counted. Because the output is linear in the
 average, a trained model comes down to one number a bucket, and scoring to the mean of those numbers over a text.
 """
 
@@ -105,12 +105,25 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class
         return Model(np.zeros(1 << BITS, np.float32), 40.0 * ((yes > 0) - (no > 0)))
     sample = subwords.labelled_sample(labels, column, per_class)
     own = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_class rows at most
-    rows = [(r["y"], np.frombuffer(r["buckets"], "<u4"), np.frombuffer(r["counts"], "<u4").astype(np.float32)) for r in counted(own.select("y", "text").limit(4 * per_class)).toLocalIterator()]
-    n1 = sum(y for y, _, _ in rows)
-    if not n1 or n1 == len(rows):
+    found = descended(counted(own.select("y", "text").limit(4 * per_class)))
+    if not found or not 0 < found["yes"] < found["rows"]:
         return Model(np.zeros(1 << BITS, np.float32), 0.0)
-    weights, bias = descend(rows)
-    return Model(weights, bias + float(np.log(yes / no) - np.log(n1 / (len(rows) - n1))))
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"] + float(np.log(yes / no) - np.log(found["yes"] / (found["rows"] - found["yes"]))))
+
+
+def descended(rows: DataFrame):
+    """The result of ``descend`` over all of a bounded number of counted rows, trained in one task; None without rows.
+
+    Rows are sorted by their content first, so that the order in which they arrive changes nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        if held:
+            weights, bias = descend([(y, np.frombuffer(b, "<u4"), np.frombuffer(n, "<u4").astype(np.float32)) for y, b, n in held])
+            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias]), pa.array([sum(y for y, _, _ in held)], pa.int64()), pa.array([len(held)], pa.int64())], ["weights", "bias", "yes", "rows"])
+
+    return rows.repartition(1).mapInArrow(run, "weights binary, bias double, yes long, rows long").first()
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
