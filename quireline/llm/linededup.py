@@ -1,6 +1,7 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame operations alone.
 
-Of lines with the same words the earliest stays. Of distinct lines one word apart (a word replaced, put in or left out)
+Of lines with the same words the earliest stays, whatever their number of words; blank lines always stay. Of distinct lines
+of ``LEAST_WORDS_NEAR`` words or more that are one word apart (a word replaced, put in or left out)
 the earlier one stays as well: each line emits a key for every word left out, made of the words before and those after
 it, and a key for every place where a word could have been put in. Two lines share a key if and only if they are at most
 one word apart, so a key's earliest line decides for the others, and no pairs within a key are listed.
@@ -14,10 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quireline.functions import text as T
 from quireline.llm.common import durable, small
 
-#: Lines of fewer words are never removed.
-LEAST_WORDS = 5
 #: Lines of fewer words are removed only if all their words are the same.
 LEAST_WORDS_NEAR = 10
 
@@ -31,6 +31,11 @@ def _words(line: Column) -> Column:
     return F.split(F.trim(line), " ")
 
 
+def _blank(line: Column) -> Column:
+    """Of white space alone; such lines separate paragraphs."""
+    return ~T.not_blank(line)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """doc_id, a hash that tells rows of one id apart, text."""
     text = F.col("text").cast("string")
@@ -52,7 +57,7 @@ def _shares(words: Column, n: Column) -> list[Column]:
 def _firsts(docs: DataFrame) -> DataFrame:
     """The earliest place of each distinct line with the hashes of its halves, by the line's own two hashes."""
     lines = _rows(docs).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words")).where(F.col("n") >= LEAST_WORDS)
+    lines = lines.where(~_blank(F.col("line"))).withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words"))
     near = F.col("n") >= LEAST_WORDS_NEAR
     shares = [F.when(near, h).alias(f"share{k}") for k, h in enumerate(_shares(F.col("words"), F.col("n")))]
     own = lines.select(*_AT, F.xxhash64(F.trim("line")).alias("h"), F.hash(F.trim("line")).alias("g"), *shares)
@@ -113,7 +118,7 @@ def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
     """``docs`` with the ``text`` of the lines that stay, ``_n_lines`` and ``_n_dropped``; every other column and row is kept.
 
     Lines end with a line feed and are compared by their words, that is without the spaces around them; earlier is by
-    doc_id, then by place. Lines of fewer than ``LEAST_WORDS`` words always stay, so blank ones do. A null text stays null
+    doc_id, then by place. Blank lines always stay. A null text stays null
     and has no lines. Rows that repeat both id and text count as one and are answered alike.
     """
     firsts = durable(_firsts(docs))
@@ -126,8 +131,8 @@ def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
     own = docs.join(marks, docs["doc_id"].cast("long").eqNullSafe(F.col("_quireline_id")) & F.xxhash64(text).eqNullSafe(F.col("_quireline_row")), "left")
     none = F.array().cast("array<int>")
     own = own.withColumn("_quireline_lines", F.split(text, "\n"))
-    short = F.expr(f"filter(sequence(0, size(_quireline_lines) - 1), i -> size(split(trim(_quireline_lines[i]), ' ')) < {LEAST_WORDS})")
-    own = own.withColumn("_quireline_stay", F.array_sort(F.array_except(F.concat(short, F.coalesce("_quireline_firsts", none)), F.coalesce("_quireline_nears", none))))
+    blank = F.filter(F.transform("_quireline_lines", lambda line, i: F.when(_blank(line), i)), lambda i: i.isNotNull())
+    own = own.withColumn("_quireline_stay", F.array_sort(F.array_except(F.concat(blank, F.coalesce("_quireline_firsts", none)), F.coalesce("_quireline_nears", none))))
     there = text.isNotNull()
     kept = [F.array_join(F.expr("transform(_quireline_stay, i -> _quireline_lines[i])"), "\n").alias("text") if c == "text" else docs[c] for c in docs.columns]
     n_dropped = F.when(there, F.size("_quireline_lines") - F.size("_quireline_stay")).otherwise(0).cast("long")
