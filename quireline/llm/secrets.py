@@ -28,7 +28,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters or more of AKIA[A-Z0-
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that have 24 characters or more
 
 # Where credentials stand.
-CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth(?:orization)?|login|bearer)["']?\s{0,4}(?:[:=]|\bis\b)\s{0,4}["']?([^\s"'<>,;]{8,256})|://[^\s/:@]{1,64}:([^\s/@]{8,256})@""", re.IGNORECASE)
+CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth(?:orization)?|login|bearer)["']?\s{0,4}(?:[:=]|\bis\b)\s{0,4}["']?([^\s"'<>,;]{8,})|://[^\s/:@]*+:([^\s/@]{8,}+)@""", re.IGNORECASE)
 HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "login", "bearer", "://")
 
 # Passwords that are tried first whatever the corpus says.
@@ -58,6 +58,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)  # least cost of a segmentation whose last part is a brute-force span, for spans of one more character
     per = _brute(value) / n if n else 0.0
+    same = [0] * 17  # how many characters up to this end are those of so many places before
     for end in range(1, n + 1):
         brute[end] = min(brute[end - 1] + per, best[end - 1] + per + 0.3)
         cost = brute[end]
@@ -69,10 +70,9 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 _walk(low[start:end]) if size >= 4 else math.inf,
             )
             cost = min(cost, best[start] + own)
-        for unit in range(1, min(16, end // 2) + 1):  # a unit and its repeats before this end
-            times = 1
-            while (times + 1) * unit <= end and low[end - (times + 1) * unit : end - times * unit] == low[end - unit : end]:
-                times += 1
+        for unit in range(1, min(16, end - 1) + 1):  # a unit and its repeats before this end
+            same[unit] = same[unit] + 1 if low[end - 1] == low[end - 1 - unit] else 0
+            times = 1 + same[unit] // unit
             if times >= 2 and times * unit >= 3:
                 cost = min(cost, best[end - times * unit] + _brute(low[end - unit : end]) + math.log10(times))
         best[end] = cost
