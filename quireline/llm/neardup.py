@@ -145,8 +145,13 @@ def _digest(own: np.ndarray) -> int:
         return int((_mix(own ^ _R).sum(dtype=np.uint64) * _P ^ np.uint64(len(own))).astype(np.int64))
 
 
+def _row():
+    """Tells rows of one id, or of none, apart by their texts."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def _sets(docs: DataFrame, p: Plan, full: bool) -> DataFrame:
-    """doc_id, n, node (a digest of the set, null for none) and the signature, or the set itself."""
+    """doc_id, row (a hash of the text), n, node (a digest of the set, null for none) and the signature, or the set itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -166,10 +171,10 @@ def _sets(docs: DataFrame, p: Plan, full: bool) -> DataFrame:
                     sig = iter(signatures(there, p)) if there else iter(())
                     own = pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())
                 node = pa.array([_digest(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([whole.column(0).slice(at, size), pa.array([len(s) for s in sets], pa.int64()), node, own], ["doc_id", "n", "node", "own"])
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(at, size), whole.column(2).slice(at, size), pa.array([len(s) for s in sets], pa.int64()), node, own], ["doc_id", "row", "n", "node", "own"])
                 at += size
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, f"doc_id long, n long, node long, own {'array<long>' if full else 'binary'}")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"), _row().alias("row")).mapInArrow(run, f"doc_id long, row long, n long, node long, own {'array<long>' if full else 'binary'}")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,18 +207,23 @@ def link(docs: DataFrame, p: Plan) -> DataFrame:
     texts) are linked with nothing. Rows that repeat an id are of one component if their texts are linked and are each
     answered; ids that are null reach others but are never the least unless all are. Other columns aren't read.
     """
+    own = _labelled(docs, p)
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _labelled(docs: DataFrame, p: Plan) -> DataFrame:
+    """doc_id, row, n, node, label of the node's component and its component_id for each row."""
     rows = durable(_sets(docs, p, full=False))
-    nodes = durable(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("own").alias("own")))
+    nodes = durable(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row")).alias("at"), F.first("n").alias("n"), F.first("own").alias("own")))
     labels = components_of(docs, nodes, p)
     named = nodes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
-    named = durable(named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "component_id"))
-    own = rows.select("doc_id", "n", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = durable(named.join(named.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "label", "component_id"))
+    return rows.select("doc_id", "row", "n", "node").join(named, "node", "left")
 
 
 def components_of(docs: DataFrame, nodes: DataFrame, p: Plan) -> DataFrame:
-    """(node, label) of the nodes that have links, from (node, least, n, own)."""
+    """(node, label) of the nodes that have links, from (node, at, n, own); ``at`` is the id and text hash of one row of the node."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +240,9 @@ def components_of(docs: DataFrame, nodes: DataFrame, p: Plan) -> DataFrame:
     sig = nodes.select("node", "n", "own")
     star = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     busy = members.select("node").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(nodes.join(busy, "node").select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    places = nodes.join(busy, "node").select(F.col("at.doc_id").alias("at_id"), F.col("at.row").alias("at_row"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _row().alias("row"))
+    texts = texts.join(places, F.col("row").eqNullSafe(F.col("at_row")) & F.col("doc_id").eqNullSafe(F.col("at_id")), "left_semi")
     full = _sets(texts, p, full=True).select("node", F.col("own").alias("set")).where("node is not null").dropDuplicates(["node"])
     full = durable(full.join(busy, "node", "left_semi"))
 
@@ -326,8 +338,17 @@ def _forests(rows: DataFrame, p: Plan) -> DataFrame:
 
 
 def dedup(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the rows whose component has a lesser id; of rows that repeat an id as well, one stays."""
-    kept = durable(link(docs, plan(k, percent)).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")))
-    if kept.where("rows > 1").limit(1).count():
-        docs = docs.dropDuplicates(["doc_id"])
-    return docs.join(kept.select(F.col("doc_id").alias("_quireline_id")), docs["doc_id"].cast("long").eqNullSafe(F.col("_quireline_id")), "left_semi")
+    """One row of each component: the one of the least id, ids that are null last; of equal rows one stays.
+
+    Rows without shingles are linked with nothing and stay, whatever their ids.
+    """
+    own = durable(_labelled(docs, plan(k, percent)))
+    each = own.where("node is not null").groupBy("label", "doc_id", "row").agg(F.count("*").alias("rows"))
+    first = each.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "rows")).alias("at")).select("at.doc_id", "at.row", "at.rows")
+    bare = own.where("node is null").select("doc_id", "row", F.lit(1).cast("long").alias("rows")).distinct()
+    kept = durable(first.unionByName(bare).select(F.col("doc_id").alias("_quireline_id"), F.col("row").alias("_quireline_row"), F.col("rows").alias("_quireline_rows")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_quireline_id")) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col("_quireline_row"))
+    if not kept.where("_quireline_rows > 1").limit(1).count():
+        return docs.join(kept, same, "left_semi")
+    single, more = (docs.join(kept.where(w), same) for w in ("_quireline_rows = 1", "_quireline_rows > 1"))
+    return single.select(*(docs[c] for c in docs.columns)).unionByName(more.dropDuplicates(["_quireline_id", "_quireline_row"]).select(*(docs[c] for c in docs.columns)))
