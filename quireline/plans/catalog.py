@@ -282,7 +282,8 @@ _GRID_SQL = ", ".join(f"(SELECT unnest([{', '.join(f'{x}::DOUBLE' for x in v)}])
     WHEN line_height_var > line_var_max AND median_ocr_conf < 70 THEN 'medium' WHEN pct80 >= pct80_good AND median_ocr_conf >= conf_good AND bbox_area_text_frac >= bbox_good AND conf_iqr <= 25 THEN 'good' ELSE 'medium' END AS p FROM tr, g)
   SELECT {', '.join(grid.GRID)}, count(*) AS n, count(*) FILTER (p = label) AS n_correct, round(count(*) FILTER (p = label) / count(*), 9) AS accuracy FROM said GROUP BY {', '.join(grid.GRID)}""")
 def threshold_grid(t):
-    return grid.search(training(t), grid=_SMALL).select(*grid.GRID, "n", F.col("n_correct").cast("long").alias("n_correct"), "accuracy")
+    """All 65,536 combinations; the SQL has the middle two values of each parameter."""
+    return grid.search(training(t)).select(*grid.GRID, "n", F.col("n_correct").cast("long").alias("n_correct"), "accuracy")
 
 
 @query()

@@ -34,7 +34,7 @@ def line_clean(t: Tables):
 
 @query()
 def deskew(t: Tables):
-    return udfs.deskewed(synthetic.frame(t.spark).where("path like 'skewed%' or path = 'text_lines'")).select("path", F.round("angle", 2).alias("angle"), "image.height", "image.width", "error")
+    return udfs.deskewed(synthetic.frame(t.spark)).select("path", F.round("angle", 2).alias("angle"), "image.height", "image.width", "error")
 
 
 @query()
@@ -46,10 +46,7 @@ def orientation_turn(t: Tables):
 
 @query()
 def lighten(t: Tables):
-    from quireline.config import LightenParams
-
-    own = synthetic.frame(t.spark).where("path in ('dark_page', 'text_lines')")
-    return rounded(udfs.page_brightness(udfs.lightened(own, 2, LightenParams(long_side=200))).drop("image"))
+    return rounded(udfs.page_brightness(udfs.lightened(synthetic.frame(t.spark))).drop("image"))
 
 
 @query()
@@ -65,7 +62,7 @@ def _rows(t: Tables):
 
 def _accuracies(t: Tables, estimator):
     rows = _rows(t)
-    mean, std = models.cross_validated(rows, estimator, k=2)
+    mean, std = models.cross_validated(rows, estimator)
     return t.spark.createDataFrame([(mean, std, rows.count())], "cv_mean double, cv_std double, n long")
 
 
@@ -81,7 +78,7 @@ def train_lr(t: Tables):
 
 @query()
 def train_gbt_ovr(t: Tables):
-    return _accuracies(t, OneVsRest(featuresCol="features", labelCol="y", classifier=GBTClassifier(maxIter=5, maxDepth=4, seed=models.SEED)))
+    return _accuracies(t, OneVsRest(featuresCol="features", labelCol="y", classifier=GBTClassifier(maxIter=50, maxDepth=4, seed=models.SEED)))
 
 
 def _forest(t: Tables):
