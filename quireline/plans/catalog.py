@@ -273,23 +273,26 @@ def derived_features(t):
     return features.derived(documents(t)).select("path", *(F.round(F.round(d, 9), 6).alias(d) for d in features.DERIVED))
 
 
-_SMALL = {g: v[1:3] for g, v in grid.GRID.items()}
-_GRID_SQL = ", ".join(f"(SELECT unnest([{', '.join(f'{x}::DOUBLE' for x in v)}]) AS {g})" for g, v in _SMALL.items())
+_LISTS = {g: f"[{', '.join(f'{x}::DOUBLE' for x in v)}]" for g, v in grid.GRID.items()}
+_GRID_SQL = ", ".join(f"(SELECT unnest({v}) AS {g})" for g, v in _LISTS.items())
+_SEQ = " + ".join(f"(list_position({v}, {g}) - 1) * {4 ** (7 - k)}" for k, (g, v) in enumerate(_LISTS.items()))
+_TRIED = f"""{_TRAIN}, g AS (SELECT * FROM {_GRID_SQL}),
+  said AS (SELECT g.*, label, CASE WHEN pct80 < pct80_failed OR median_ocr_conf < conf_failed OR bbox_area_text_frac < bbox_failed THEN 'failed' WHEN conf_iqr > conf_iqr_max AND pct80 < 0.4 THEN 'failed'
+    WHEN line_height_var > line_var_max AND median_ocr_conf < 70 THEN 'medium' WHEN pct80 >= pct80_good AND median_ocr_conf >= conf_good AND bbox_area_text_frac >= bbox_good AND conf_iqr <= 25 THEN 'good' ELSE 'medium' END AS p FROM tr, g),
+  tried AS (SELECT {', '.join(grid.GRID)}, count(*) AS n, count(*) FILTER (p = label) AS n_correct, round(count(*) FILTER (p = label) / count(*), 9) AS accuracy FROM said GROUP BY {', '.join(grid.GRID)})"""
 
 
-@query(f"""{_TRAIN}, g AS (SELECT * FROM {_GRID_SQL}),
-  said AS (SELECT g.*, label, CASE WHEN pct80 < pct80_failed OR median_ocr_conf < conf_failed OR bbox_area_text_frac < bbox_failed THEN 'failed' WHEN conf_iqr > conf_iqr_max AND pct80 < 0.4 THEN 'failed'
-    WHEN line_height_var > line_var_max AND median_ocr_conf < 70 THEN 'medium' WHEN pct80 >= pct80_good AND median_ocr_conf >= conf_good AND bbox_area_text_frac >= bbox_good AND conf_iqr <= 25 THEN 'good' ELSE 'medium' END AS p FROM tr, g)
-  SELECT {', '.join(grid.GRID)}, count(*) AS n, count(*) FILTER (p = label) AS n_correct, round(count(*) FILTER (p = label) / count(*), 9) AS accuracy FROM said GROUP BY {', '.join(grid.GRID)}""")
+@query(f"{_TRIED} SELECT * FROM tried")
 def threshold_grid(t):
-    """All 65,536 combinations; the SQL has the middle two values of each parameter."""
+    """All 65,536 combinations."""
     return grid.search(training(t)).select(*grid.GRID, "n", F.col("n_correct").cast("long").alias("n_correct"), "accuracy")
 
 
-@query()
+@query(f"{_TRIED} SELECT CAST({_SEQ} AS INTEGER) AS seq, * FROM tried ORDER BY accuracy DESC, seq LIMIT 1")
 def threshold_best(t):
     """The best of all 65,536 combinations, the first of equal ones."""
-    return reports.best_first(grid.search(training(t)), "accuracy", "seq")
+    own = reports.best_first(grid.search(training(t)), "accuracy", "seq")
+    return own.select("seq", *grid.GRID, "n", F.col("n_correct").cast("long").alias("n_correct"), "accuracy")
 
 
 @query(f"{_TRAIN} SELECT label, category AS predicted, count(*) AS n FROM tr GROUP BY label, category")
@@ -324,8 +327,18 @@ def standardize(t):
 
 # --- texts
 
-# The SQL of this part still cuts texts to 150 characters, and references of ``ocr_ref_candidates`` to 40; the queries don't.
-_ASCII = "regexp_replace(substr({}, 1, 150), '[^ -~]', '?', 'g')"
+
+
+def _rates(pairs: str) -> str:
+    """CTE ``cer`` (id, h, r, cer) of pairs (id, h, r): the edit distance row by row, over code points of whole texts."""
+    return f"""RECURSIVE pair AS ({pairs}),
+  hc AS (SELECT id, 0 AS j, '' AS c FROM pair UNION ALL SELECT id, unnest(range(1, length(h) + 1)), unnest(regexp_extract_all(h, '(?s).')) FROM pair),
+  rc AS (SELECT id, unnest(range(1, length(r) + 1)) AS i, unnest(regexp_extract_all(r, '(?s).')) AS c FROM pair),
+  d AS (SELECT CAST(0 AS BIGINT) AS i, id, CAST(j AS BIGINT) AS j, CAST(j AS BIGINT) AS v FROM hc UNION ALL
+    SELECT i + 1, id, j, j + min(t - j) OVER (PARTITION BY id ORDER BY j) FROM (
+      SELECT d.i, d.id, d.j, least(d.v + 1, coalesce(lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN hc.c = rc.c THEN 0 ELSE 1 END, d.v + 1)) AS t
+      FROM d JOIN hc ON hc.id = d.id AND hc.j = d.j JOIN rc ON rc.id = d.id AND rc.i = d.i + 1)),
+  cer AS (SELECT pair.*, round(d.v / length(r), 6) AS cer FROM pair JOIN d ON d.id = pair.id AND d.i = length(r) AND d.j = length(h))"""
 
 
 def _texts(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -335,22 +348,21 @@ def _texts(t: Tables) -> tuple[DataFrame, DataFrame]:
     return hyp, ref
 
 
-_CER = f"""cer AS (SELECT 'f' || doc_id || '.txt' AS filename, length(h) AS hyp_len, length(r) AS ref_len, round(levenshtein(h, r) / length(r), 6) AS cer
-    FROM (SELECT doc_id, {_ASCII.format('documents.text')} AS h, {_ASCII.format('benchmark.text')} AS r FROM documents JOIN benchmark ON doc_id = item_id))"""
+_CER = _rates("SELECT doc_id AS id, documents.text AS h, benchmark.text AS r FROM documents JOIN benchmark ON doc_id = item_id")
 
 
-@query(f"WITH {_CER} SELECT filename, CAST(hyp_len AS INTEGER) AS hyp_len, CAST(ref_len AS INTEGER) AS ref_len, cer FROM cer")
+@query(f"WITH {_CER} SELECT 'f' || id || '.txt' AS filename, CAST(length(h) AS INTEGER) AS hyp_len, CAST(length(r) AS INTEGER) AS ref_len, cer FROM cer")
 def cer_per_file(t):
     return compare.cer_by_file(*_texts(t), half_even=False)
 
 
-@query(f"WITH {_CER} SELECT round(sum(cer * ref_len) / sum(ref_len), 6) AS cer, count(*) AS files FROM cer")
+@query(f"WITH {_CER} SELECT round(sum(cer * length(r)) / sum(length(r)), 6) AS cer, count(*) AS files FROM cer")
 def cer_corpus(t):
     return compare.corpus_cer(compare.cer_by_file(*_texts(t), half_even=False), half_even=False)
 
 
 @query("""WITH ref AS (SELECT item_id, item_id % 3 AS kind, text FROM benchmark)
-  SELECT 'f' || doc_id || '.pdf' AS filename, CASE WHEN kind < 2 THEN substr(ref.text, 1, 40) ELSE 'ref: ' || substr(ref.text, 1, 40) END AS ref FROM documents LEFT JOIN ref ON doc_id = item_id""")
+  SELECT 'f' || doc_id || '.pdf' AS filename, CASE WHEN kind < 2 THEN ref.text ELSE 'ref: ' || ref.text END AS ref FROM documents LEFT JOIN ref ON doc_id = item_id""")
 def ocr_ref_candidates(t):
     """Items of rest 0 have a plain reference only, of rest 1 both, of rest 2 a marked one only."""
     b = t("benchmark")
@@ -381,7 +393,7 @@ def percentile_stretch(t):
     ends = px.groupBy("path").agg(F.percentile("px", 0.02).alias("lo"), F.percentile("px", 0.99).alias("hi"))
     lo, hi, own = F.col("lo"), F.col("hi"), F.col("px")
     stretched = F.when(hi <= lo, own).otherwise(F.least(F.greatest((own - lo) * 255 / F.nullif(hi - lo, F.lit(0.0)), F.lit(0.0)), F.lit(255.0)))
-    return px.join(F.broadcast(ends), "path").groupBy("page_no").agg(F.count("*").alias("n"), F.round(F.sum(F.round(stretched, 9)), 4).alias("total"))
+    return px.join(ends, "path").groupBy("page_no").agg(F.count("*").alias("n"), F.round(F.sum(F.round(stretched, 9)), 4).alias("total"))
 
 
 @query("SELECT conv_id, md5(string_agg(text, chr(12) ORDER BY turn, text)) AS digest, CAST(count(*) AS BIGINT) AS pages FROM conversations GROUP BY conv_id")
@@ -442,19 +454,22 @@ def json_text(t):
     return t("events").select("event_id", T.response_text(body, kind).alias("text"))
 
 
-_BACKEND = f"""SELECT filename, length(a) AS plain_len, CASE WHEN r IS NOT NULL THEN round(levenshtein(a, r) / length(r), 6) END AS plain_cer, length(upper(a)) AS upper_len, CASE WHEN r IS NOT NULL THEN round(levenshtein(upper(a), r) / length(r), 6) END AS upper_cer
-  FROM (SELECT 'f' || doc_id || '.txt' AS filename, {_ASCII.format('documents.text')} AS a, {_ASCII.format('benchmark.text')} AS r FROM documents LEFT JOIN benchmark ON doc_id = item_id)"""
+_UPPER = "upper(replace(documents.text, 'ß', 'SS'))"
+_BACKEND = _rates(f"SELECT doc_id * 2 AS id, documents.text AS h, benchmark.text AS r FROM documents JOIN benchmark ON doc_id = item_id UNION ALL SELECT doc_id * 2 + 1, {_UPPER}, benchmark.text FROM documents JOIN benchmark ON doc_id = item_id")
 
 
-@query(_BACKEND.replace("length(a) AS", "CAST(length(a) AS INTEGER) AS").replace("length(upper(a)) AS", "CAST(length(upper(a)) AS INTEGER) AS"))
+@query(f"""WITH {_BACKEND} SELECT 'f' || doc_id || '.txt' AS filename, CAST(length(documents.text) AS INTEGER) AS plain_len, p.cer AS plain_cer, CAST(length({_UPPER}) AS INTEGER) AS upper_len, u.cer AS upper_cer
+  FROM documents LEFT JOIN cer p ON p.id = doc_id * 2 LEFT JOIN cer u ON u.id = doc_id * 2 + 1""")
 def backend_compare(t):
     hyp, ref = _texts(t)
     texts = hyp.withColumn("backend", F.lit("plain")).unionByName(hyp.select("filename", F.upper("text").alias("text"), F.lit("upper").alias("backend")))
     return compare.compare_backends(texts, ref, ["plain", "upper"])
 
 
-@query(f"""WITH x AS (SELECT k, length(r) AS n, round(levenshtein(substr(h, 1, k), r) / length(r), 6) AS cer FROM (SELECT {_ASCII.format('documents.text')} AS h, {_ASCII.format('benchmark.text')} AS r FROM documents JOIN benchmark ON doc_id = item_id), (SELECT unnest([40, 80, 120]) AS k))
-  SELECT CAST(k AS INTEGER) AS k, count(*) AS files, round(sum(cer * n) / sum(n), 6) AS cer FROM x GROUP BY k""")
+_SWEPT = _rates("SELECT doc_id * 1000 + k AS id, substr(documents.text, 1, k) AS h, benchmark.text AS r FROM documents JOIN benchmark ON doc_id = item_id, (SELECT unnest([40, 80, 120]) AS k)")
+
+
+@query(f"WITH {_SWEPT} SELECT CAST(id % 1000 AS INTEGER) AS k, count(*) AS files, round(sum(cer * length(r)) / sum(length(r)), 6) AS cer FROM cer GROUP BY 1")
 def sweep_cer(t):
     hyp, ref = _texts(t)
     grid_ = hyp.select("filename", "text", F.explode(F.array(F.lit(40), F.lit(80), F.lit(120))).alias("k")).withColumn("text", F.expr("substring(text, 1, k)"))
