@@ -1,12 +1,13 @@
 """What the operators of this subpackage share: durable intermediate tables and table access.
 
 Executors can be lost at any time, so anything that is read more than once or that closes a loop
-is written with ``checkpoint()`` into the folder that ``spark.checkpoint.dir`` names.
+is written as a Parquet table into the folder that ``spark.checkpoint.dir`` names, and read from there.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +29,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder and cut from their lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The same rows, written to a table in the shared folder and cut from their lineage; readers skip the columns they don't need."""
+    place = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
-#: Rows of keys, places and the like that may be broadcast; beyond so many a join is shuffled.
-BROADCAST_ROWS = 100_000
+#: Items (rows of a few fixed-width columns, or entries of their arrays) that may be broadcast; beyond so many a join is shuffled.
+BROADCAST_ITEMS = 100_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A durable table, marked for broadcast where its rows, counted, are few."""
+def small(df: DataFrame, items=None) -> DataFrame:
+    """A durable table, marked for broadcast where its items, counted, are few; ``items``: how many a row has, where not one."""
     df = durable(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    n = df.agg(F.count("*") if items is None else F.sum(items.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if n <= BROADCAST_ITEMS else df
 
 
 def held_out(doc_id):

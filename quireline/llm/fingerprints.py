@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 BITS = 20
 #: Share of documents that have a term: its idf is between log(1 / HIGH) and log(1 / LOW).
 LOW, HIGH = 0.001, 0.2
-#: The random subsets of each density: those of density s have one term in 2**s of the lexicon.
-DENSITIES = {2: 4, 3: 6, 4: 7, 5: 7, 6: 7, 7: 7, 8: 7, 9: 4}
-SUBSETS = [s for s, n in DENSITIES.items() for _ in range(n)]
+#: The random subsets of each density: those of density s have one term in 2**s of the lexicon. The k-th subset of a density
+#: is part of the k-th of the density before, so terms are hashed once for all k-th ones.
+DENSITIES = {2: 7, 3: 7, 4: 7, 5: 7, 6: 7, 7: 7, 8: 7, 9: 7}
 #: Documents in a range of ids, about, and the most ranges that there are.
-RANGE, RANGES = 2000, 200_000
+RANGE, RANGES = 2000, 10_000
 
 
 def _terms(text: Column) -> Column:
@@ -40,8 +40,20 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> Column:
     return F.split(F.lit(",".join(map(str, flags))), ",").cast("array<bigint>")  # folded to one constant when planned
 
 
-def _subset(terms: Column, k: int, s: int) -> Column:
-    return F.filter(terms, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND((1 << s) - 1) == 0)
+def _subsets(terms: Column, k: int) -> Column:
+    """Hash of the terms in the k-th subset of each density, "-" of none; each density is filtered from what the one before kept."""
+    say = lambda own: F.when(F.size(own) == 0, F.lit("-")).otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(F.transform(own, lambda t: t["term"]))), 16, "0")), 1, 8))
+    own = F.transform(terms, lambda t: F.struct(t.alias("term"), F.xxhash64(t, F.lit(k)).alias("h")))
+    first, *more = DENSITIES
+    narrowed = lambda rows, s: F.filter(rows, lambda t: t["h"].bitwiseAND((1 << s) - 1) == 0)
+
+    def said(rows: Column, rest: list[int]) -> Column:
+        """"rows" is held once, as the entry of an array."""
+        if not rest:
+            return F.transform(F.array(rows), say)[0]
+        return F.transform(F.array(rows), lambda r: F.concat_ws(":", say(r), said(narrowed(r, rest[0]), rest[1:])))[0]
+
+    return said(narrowed(own, first), more)
 
 
 def with_fingerprint(rows: DataFrame, text: str, name: str, bits: Column) -> DataFrame:
@@ -50,11 +62,9 @@ def with_fingerprint(rows: DataFrame, text: str, name: str, bits: Column) -> Dat
     A text without kept terms is hashed as it is, so that equal texts agree and others don't.
     """
     kept = F.filter(_terms(F.col(text)), lambda t: F.get(bits, F.shiftright(t, 5)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(31))) != 0)
-    some = [_subset(F.col("_kept"), k, s) for k, s in enumerate(SUBSETS)]
+    parts = [_subsets(F.col("_kept"), k) for k in range(min(DENSITIES.values()))]
     whole = F.when(F.size("_kept") == 0, F.xxhash64(F.lit("text"), text)).otherwise(F.xxhash64("_kept"))
-    say = lambda h, n: F.substring(F.lower(F.lpad(F.hex(h), 16, "0")), 1, n)
-    parts = [F.transform(F.array(own), lambda s: F.when(F.size(s) == 0, F.lit("-")).otherwise(say(F.xxhash64(s), 8)))[0] for own in some]
-    return rows.withColumn("_kept", F.array_sort(kept)).withColumn(name, F.concat_ws(":", say(whole, 16), *parts)).drop("_kept")
+    return rows.withColumn("_kept", F.array_sort(kept)).withColumn(name, F.concat_ws(":", F.lower(F.lpad(F.hex(whole), 16, "0")), *parts)).drop("_kept")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -64,33 +74,65 @@ def likeness(a: str, b: str) -> Column:
     suits the texts speaks for them.
     """
     pairs = F.arrays_zip(F.split(a, ":").alias("x"), F.split(b, ":").alias("y"))
-    shares, at = [], 2  # the first subset stands second
-    for n in DENSITIES.values():
-        own = F.slice(pairs, at, n)
-        held = F.size(F.filter(own, lambda p: (p["x"] != "-") | (p["y"] != "-")))
-        same = F.size(F.filter(own, lambda p: (p["x"] != "-") & (p["x"] == p["y"])))
-        shares.append(F.when(held < 2, 0.0).otherwise(same / held))
-        at += n
-    return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.greatest(*shares))
+    sizes = list(DENSITIES)
+
+    def best(zipped: Column) -> Column:
+        shares = []
+        for k in range(len(sizes)):  # the whole's hash stands first, then the densities of each k in turn
+            own = F.filter(zipped, lambda p, i, k=k: (i > 0) & ((i - 1) % len(sizes) == k) & ((p["x"] != "-") | (p["y"] != "-")))
+            shares.append(F.transform(F.array(own), lambda o: F.when(F.size(o) < 2, 0.0).otherwise(F.size(F.filter(o, lambda p: p["x"] == p["y"])) / F.size(o)))[0])
+        return F.greatest(*shares)
+
+    return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.transform(F.array(pairs), best)[0])
+
+
+def _ranges(rows: DataFrame) -> Column:
+    """The number of the range that a row (doc_id, _tie) belongs to; higher ones are first in order.
+
+    Bounds are quantiles of the ids, so ranges hold about as many rows however ids lie. Of an id that fills several
+    ranges, and of null ids, rows are dealt over these by the tie, in its order.
+    """
+    stats = rows.agg(F.count("*").alias("n"), F.count("doc_id").alias("known")).first()
+    m = max(1, min(RANGES, stats["n"] // RANGE))
+    bounds = rows.agg(F.percentile_approx("doc_id", [k / m for k in range(1, m)], 100_000).alias("b")).first()["b"] if m > 1 and stats["known"] else []
+    step = max(1, int(len(bounds) ** 0.5))
+    held = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    tops = F.split(F.lit(",".join(map(str, bounds[step - 1 :: step]))), ",").cast("array<bigint>")
+    share = F.lit(0.5) - F.col("_tie") / F.lit(2.0**64)  # from 1 to 0 as the tie grows
+
+    def below(than) -> Column:  # how many bounds are so, found among every so many bounds first
+        whole = F.size(F.filter(tops, than)) * step
+        return whole + F.size(F.filter(F.slice(held, whole + 1, F.lit(step)), than))
+
+    def dealt(low: Column, n: Column) -> Column:
+        return low + F.least(F.floor(share * n), n - 1)
+
+    if not bounds:
+        low, n = F.lit(0).cast("long"), F.lit(1).cast("long")
+    else:
+        low = below(lambda b: b < F.col("doc_id")).cast("long")
+        n = below(lambda b: b <= F.col("doc_id")).cast("long") - low + 1
+    nulls = max(1, (stats["n"] - stats["known"]) * m // max(1, stats["n"]))
+    return F.when(F.col("doc_id").isNull(), dealt(F.lit(-nulls).cast("long"), F.lit(nulls).cast("long"))).otherwise(dealt(low, n))
 
 
 def with_next(rows: DataFrame, *columns: str) -> DataFrame:
     """Adds ``next_<column>`` of the next row by descending doc_id; after the last comes the first, and a lone row follows itself.
 
     Rows are dealt by ranges of ids, and the head of each range is a guest at the end of the range before it, so no window
-    holds more than a range. Equal ids are in the order of a hash of the columns, null ids come last.
+    holds much more than a range. Equal ids are in the order of a hash of the columns, null ids come last; rows that are
+    the same in all of these stand beside each other in any order.
     """
-    stats = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
-    low = stats["low"] or 0
-    width = max(1, -(-((stats["high"] or 0) - low + 1) // max(1, min(RANGES, stats["n"] // RANGE))))
-    placed = rows.withColumn("_range", F.floor((F.coalesce("doc_id", F.lit(low)) - F.lit(low)) / width).cast("long")).withColumn("_tie", F.xxhash64(*columns))
-    down = Window.orderBy(F.desc("_range"))  # over RANGES rows at most
-    heads = placed.groupBy("_range").agg(F.max("doc_id").alias("_head"))
+    placed = rows.withColumn("_tie", F.xxhash64(*columns))
+    placed = placed.withColumn("_range", _ranges(placed.select("doc_id", "_tie")))
+    down = Window.orderBy(F.desc("_range"))  # over RANGES rows, twice as many at most
+    heads = placed.groupBy("_range").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.bitwise_not("_tie").alias("tie"))).alias("_head"))
     heads = heads.select("_range", "_head", F.coalesce(F.lag("_range").over(down), F.min("_range").over(Window.partitionBy())).alias("_above"))
     known = placed.join(F.broadcast(heads), "_range")
     home = F.array(F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest")))
     as_guest = F.array(F.struct(F.col("_above").alias("range"), F.lit(True).alias("guest")))
-    homes = known.withColumn("_home", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("_head")), F.concat(home, as_guest)).otherwise(home)))
+    first = F.col("doc_id").eqNullSafe(F.col("_head.doc_id")) & (F.bitwise_not("_tie") == F.col("_head.tie"))
+    homes = known.withColumn("_home", F.explode(F.when(first, F.concat(home, as_guest)).otherwise(home)))
     order = Window.partitionBy("_home.range").orderBy("_home.guest", F.desc_nulls_last("doc_id"), "_tie")
     out = homes.select(*rows.columns, "_home", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
     return out.where("not _home.guest").drop("_home")

@@ -4,7 +4,8 @@ Of lines with the same words the earliest stays, whatever their number of words;
 of ``LEAST_WORDS_NEAR`` words or more that are one word apart (a word replaced, put in or left out)
 the earlier one stays as well: each line emits a key for every word left out, made of the words before and those after
 it, and a key for every place where a word could have been put in. Two lines share a key if and only if they are at most
-one word apart, so a key's earliest line decides for the others, and no pairs within a key are listed.
+one word apart, so a key's earliest line decides for the others, and no pairs within a key are listed. A line goes if an earlier one is one
+word apart, whether or not that one stays itself: of a chain of lines, each one word from the next, the first stays.
 
 Only lines that share all but a third with another one can be that close, so only those emit keys: the word that two lines
 differ in lies within one third, and the words before and behind that third are the same.
@@ -65,15 +66,26 @@ def _firsts(docs: DataFrame) -> DataFrame:
     return first.select("h", "first.*", *(f"share{k}" for k in range(2 * PARTS)))
 
 
+#: Entries that running sums are made of at a time.
+_CHUNK = 64
+
+
 def _sided(words: Column) -> Column:
-    """Hash of the first k words at k, from none to all."""
-    start = F.struct(F.array(F.lit(42).cast("long")).alias("all"), F.lit(42).cast("long").alias("last"))
+    """Hash of the first k words at k, from none to all: the sum of hashes of word and place.
+
+    Sums within chunks and over chunks are added, so the work is in proportion to a line's words, however long it is.
+    """
+    each = F.transform(words, lambda w, k: F.xxhash64(w, k).bitwiseAND((1 << 40) - 1))
+    part = lambda g, at, n: F.aggregate(F.slice(g, at, n), F.lit(0).cast("long"), lambda a, x: a + x)
+    chunk = F.lit(_CHUNK)
 
-    def step(s: Column, w: Column) -> Column:
-        h = F.xxhash64(s["last"], w)
-        return F.struct(F.array_append(s["all"], h).alias("all"), h.alias("last"))
+    def running(g: Column) -> Column:
+        ends = F.transform(F.sequence(F.lit(0), F.floor(F.size(g) / chunk).cast("int")), lambda c: part(g, c * chunk + 1, chunk))
+        starts = F.aggregate(ends, F.array(F.lit(0).cast("long")), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+        # transform over arrays of one entry: what is inside is computed once
+        return F.transform(F.array(starts), lambda s: F.transform(F.sequence(F.lit(0), F.size(g)), lambda k: F.get(s, F.floor(k / chunk).cast("int")) + part(g, F.floor(k / chunk).cast("int") * chunk + 1, k % chunk)))[0]
 
-    return F.aggregate(words, start, step, lambda s: s["all"])
+    return F.transform(F.array(each), running)[0]
 
 
 def _one_apart(a: Column, b: Column) -> Column:
@@ -95,7 +107,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     two = shared.select(F.explode(F.array("lo", "hi")).alias("h"))
     more = shares.join(small(shared.where("n > 2").select("share")), "share", "left_semi").select("h")  # of larger groups, those between the two
     may = small(two.union(more).distinct())
-    places = small(firsts.join(may, "h", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("line_nos")))
+    places = small(firsts.join(may, "h", "left_semi").groupBy("doc_id", "row").agg(F.collect_set("line_no").alias("line_nos")), F.size("line_nos"))
     same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.row") == F.col("p.row"))
     texts = _rows(docs).alias("d").join(places.alias("p"), same)
     lines = texts.select("d.doc_id", "d.row", F.explode("line_nos").alias("line_no"), F.split("text", "\n").alias("all"))
@@ -114,8 +126,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return near.where(_one_apart(F.col("words"), F.col("least.words"))).select("at.*").distinct()
 
 
-def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
-    """``docs`` with the ``text`` of the lines that stay, ``_n_lines`` and ``_n_dropped``; every other column and row is kept.
+def cleaned(docs: DataFrame, near: bool = True, counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """``docs`` with the ``text`` of the lines that stay and, by the names ``counts``, how many lines there were and how many went;
+    every other column and row is kept.
 
     Lines end with a line feed and are compared by their words, that is without the spaces around them; earlier is by
     doc_id, then by place. Blank lines always stay. A null text stays null
@@ -136,7 +149,7 @@ def cleaned(docs: DataFrame, near: bool = True) -> DataFrame:
     there = text.isNotNull()
     kept = [F.array_join(F.expr("transform(_quireline_stay, i -> _quireline_lines[i])"), "\n").alias("text") if c == "text" else docs[c] for c in docs.columns]
     n_dropped = F.when(there, F.size("_quireline_lines") - F.size("_quireline_stay")).otherwise(0).cast("long")
-    return own.select(*kept, F.when(there, F.size("_quireline_lines")).otherwise(0).cast("long").alias("_n_lines"), n_dropped.alias("_n_dropped"))
+    return own.select(*kept, F.when(there, F.size("_quireline_lines")).otherwise(0).cast("long").alias(counts[0]), n_dropped.alias(counts[1]))
 
 
 def dedup(docs: DataFrame, near: bool = True) -> DataFrame:

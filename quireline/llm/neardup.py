@@ -280,10 +280,13 @@ def _within(pairs: DataFrame, p: Plan) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, weight) -> DataFrame:
-    """Rows of (key, node, …) once for each pair of blocks (i <= j) of their key that they are in."""
+    """Rows of (key, node, …) once for each pair of blocks (i <= j) of their key that they are in, dealt by key and pair.
+
+    The size of a key is joined by the key; without the deal after it all blocks of a key would stand in one task.
+    """
     size = rows.groupBy("key").agg(F.ceil(F.sum(weight) / F.lit(BLOCK)).cast("int").alias("blocks"))
     own = rows.join(size, "key").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("blocks")).cast("int"))
-    return own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    return own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks").repartition("key", "i", "j")
 
 
 def _active(rows: DataFrame, p: Plan) -> DataFrame:

@@ -105,7 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class
         return Model(np.zeros(1 << BITS, np.float32), 40.0 * ((yes > 0) - (no > 0)))
     sample = subwords.labelled_sample(labels, column, per_class)
     own = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # 2 * per_class rows at most
-    found = descended(counted(own.select("y", "text").limit(4 * per_class)))
+    own = own.groupBy("doc_id").agg(F.first("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))  # of rows that share an id, one
+    found = descended(counted(own.select("y", "text")))
     if not found or not 0 < found["yes"] < found["rows"]:
         return Model(np.zeros(1 << BITS, np.float32), 0.0)
     return Model(np.frombuffer(found["weights"], np.float32), found["bias"] + float(np.log(yes / no) - np.log(found["yes"] / (found["rows"] - found["yes"]))))
@@ -147,6 +148,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(*kept).mapInArrow(run, f"{schema}, quality_score double")
 
 
+def keep(docs: DataFrame, model: Model, least: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns as they are, whose whole texts score ``least`` or more."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 512):
+                batch = whole.slice(begin, 512)
+                yield batch.filter(pa.array(means(batch.column(at).to_pylist(), shared.value) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def means(texts: list[str | None], m: Model) -> np.ndarray:
     out = []
     bits = int(np.log2(len(m.weights)))

@@ -43,8 +43,7 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return secrets.digest(secrets.scan(docs, secrets.word_ranks(docs)))
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,22 @@
 """Token counts as delta-maintained rollups.
 
 Totals by source, language and tokenizer version are never counted anew: inserts, deletes and revised counts become signed
-deltas, a batch of deltas is committed under its id at most once, and totals are the sums over committed batches. Additive
+deltas, a batch of deltas is committed under its id at most once, and totals are sums over committed batches. Additive
 deltas need no order, so batches may come late or twice.
+
+A commit is a marker that only one writer can create; it names the folder that the batch was written to before. Maintained
+totals are snapshots: each holds the sums over the batches that it names, and is itself a marker over a folder. Reading adds
+to the newest snapshot the batches that came after it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +66,7 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 class Rollups:
-    """The ledger in one shared folder: a folder of deltas for each committed batch."""
+    """The ledger in one shared folder: ``data`` of batches and snapshots, ``commits`` and ``snapshots`` of markers."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -70,31 +76,71 @@ class Rollups:
     def commit(self, batch: str, deltas: DataFrame) -> bool:
         """Adds a batch of deltas, aggregated first; False, and no change, if a batch of that id is there already.
 
-        The deltas are written aside and moved into place in one step, so a batch is there as a whole or not at all.
+        The deltas are written aside; then the batch's marker is created, which fails if it exists, so of several writers
+        one commits, and a batch is there as a whole or not at all.
         """
         if not batch or not all(c.isalnum() or c in "-_" for c in batch):
             raise ValueError(f"{batch!r} isn't a batch id: letters, digits, - and _ only")
-        place = f"{self.folder}/batches/{batch}"
-        if self._files.exists(self._path(place)):
+        if self._files.exists(self._path(f"{self.folder}/commits/{batch}")):
             return False
-        aside = f"{self.folder}/aside/{batch}-{uuid.uuid4().hex}"
-        summed(deltas).write.parquet(aside)
-        self._files.mkdirs(self._path(f"{self.folder}/batches"))
-        done = not self._files.exists(self._path(place)) and self._files.rename(self._path(aside), self._path(place))
-        if not done:
-            self._files.delete(self._path(aside), True)
-        return done
+        return self._publish(f"commits/{batch}", f"data/{batch}", summed(deltas), [])
+
+    def _publish(self, marker: str, place: str, rows: DataFrame, batches: list[str]) -> bool:
+        data = f"{place}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.folder}/{data}")
+        try:
+            stream = self._files.create(self._path(f"{self.folder}/{marker}"), False)  # exclusive
+        except Py4JJavaError as e:
+            self._files.delete(self._path(f"{self.folder}/{data}"), True)
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        stream.write(json.dumps({"data": data, "batches": batches}).encode())
+        stream.close()
+        return True
+
+    def _marked(self, kind: str) -> list[str]:
+        there = self._path(f"{self.folder}/{kind}")
+        return sorted(s.getPath().getName() for s in self._files.listStatus(there) if not s.getPath().getName().startswith((".", "_"))) if self._files.exists(there) else []
+
+    def _marker(self, kind: str, name: str) -> dict | None:
+        """What a marker says. One whose writer was lost before it could say so names the first whole folder of its batch:
+        all writers of a batch write the same. None for a snapshot of that kind, which no reader needs."""
+        lines = self.spark.read.text(f"{self.folder}/{kind}/{name}", wholetext=True).collect()
+        if lines and lines[0][0]:
+            return json.loads(lines[0][0])
+        if kind != "commits":
+            return None
+        tries = sorted(s.getPath() for s in self._files.listStatus(self._path(f"{self.folder}/data/{name}")))
+        return {"data": next(f"data/{name}/{p.getName()}" for p in tries if self._files.exists(self._path(p, "_SUCCESS"))), "batches": []}
 
     def batches(self) -> list[str]:
-        there = self._path(f"{self.folder}/batches")
-        return sorted(s.getPath().getName() for s in self._files.listStatus(there)) if self._files.exists(there) else []
+        return self._marked("commits")
+
+    def _newest(self) -> tuple[int, dict]:
+        for name in reversed(self._marked("snapshots")):
+            if said := self._marker("snapshots", name):
+                return int(name), said
+        return 0, {"data": None, "batches": []}
+
+    def compact(self) -> bool:
+        """Maintains the totals: a snapshot of the newest one and the batches since. False if there are none, or another writer was first."""
+        number, newest = self._newest()
+        since = [b for b in self.batches() if b not in set(newest["batches"])]
+        last = max([number, *(int(n) for n in self._marked("snapshots"))])
+        return bool(since) and self._publish(f"snapshots/{last + 1:012d}", "data/-totals", self._sums(newest, since), sorted([*newest["batches"], *since]))
+
+    def _sums(self, newest: dict, since: list[str]) -> DataFrame:
+        places = [newest["data"]] * bool(newest["data"]) + [self._marker("commits", b)["data"] for b in since]
+        schema = ", ".join([f"{k} string" for k in KEYS] + [f"{s} long" for s in SUMS])
+        own = self.spark.read.schema(schema).parquet(*(f"{self.folder}/{p}" for p in places)) if places else self.spark.createDataFrame([], schema)
+        return summed(own).where(" or ".join(f"{s} <> 0" for s in SUMS))
 
     def totals(self) -> DataFrame:
-        """Sums over all committed batches; keys whose documents all went aren't there."""
-        found = self.batches()
-        schema = ", ".join([f"{k} string" for k in KEYS] + [f"{s} long" for s in SUMS])
-        own = self.spark.read.schema(schema).parquet(*(f"{self.folder}/batches/{b}" for b in found)) if found else self.spark.createDataFrame([], schema)
-        return summed(own).where("n_docs <> 0 or n_tokens <> 0")
+        """Sums over all committed batches: the newest snapshot and what came after it. Keys of which nothing is left aren't there."""
+        _, newest = self._newest()
+        known = set(newest["batches"])
+        return self._sums(newest, [b for b in self.batches() if b not in known])
 
     def drop(self) -> None:
         self._files.delete(self._path(self.folder), True)
@@ -106,7 +152,9 @@ def summed(deltas: DataFrame) -> DataFrame:
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Totals after four batches over the whole table: all documents come in; those labelled as of low quality go; the
-    counts of one version are revised to include the id that closes a document; the first batch is sent once more."""
+    counts of one version are revised to include the id that closes a document; the first batch is sent once more. Totals
+    are compacted in between. Null sources and languages are keys of their own; rows that repeat count each; labels without
+    a document change nothing; of an empty table there are no totals."""
     spark = docs.sparkSession
     rows = durable(counted(docs))
     low = labels.where("quality = 0").select("doc_id").distinct()
@@ -114,6 +162,7 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ledger = Rollups(spark, f"{shared_folder(spark)}/rollups-{uuid.uuid4().hex}")
     ledger.commit("load", inserted(rows))
     ledger.commit("retract", deleted(rows.join(low, "doc_id", "left_semi")))
+    ledger.compact()
     ledger.commit("close", revised(stay, stay.withColumn("n_tokens", F.col("n_tokens") + 1)))
     ledger.commit("load", inserted(rows))
     out = durable(ledger.totals())

@@ -1,8 +1,8 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
 Suspicious runs (look-alike characters inside words, letters spaced out, letters drawn out) become a lattice of what
-each character may stand for, and Viterbi decoding under a character trigram model picks the likeliest readings. The
-model's counts are taken over every whole text of the corpus. The restored text, that is the text with those readings
+each character may stand for, and Viterbi decoding under a character trigram model picks the likeliest readings: for
+every pair of last letters the best paths are kept, so none that could win is lost, and runs are decoded whole. The model's counts are taken over every whole text of the corpus. The restored text, that is the text with those readings
 beside it, is scored by how strongly its words and character n-grams speak for the toxic class among labelled rows.
 """
 
@@ -27,10 +27,10 @@ BITS = 31
 #: Labelled rows of each class that are learned from at most: the bound of the sample, a parameter of ``train``.
 PER_CLASS = 4000
 THRESHOLD = 0.5
-#: Paths that the decoder keeps at each character, and readings of a run that are scored.
-BEAM, READINGS = 24, 3
-#: Longest run that is decoded in one lattice; longer ones are decoded in pieces of that many characters.
-RUN = 64
+#: Readings of a run that are scored, and so the paths kept for every state of the decoder.
+READINGS = 3
+#: Toxic texts that a learned feature must be in; which of those speak for the class, the bound of their log odds says.
+LEAST_TEXTS = 5
 
 # Letters of the character model, and what look-alike characters may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
@@ -42,9 +42,9 @@ _CODE = {c: k for k, c in enumerate(LETTERS, 1)}
 _LOOK = re.escape("".join(LOOKS))
 _SPACED = re.compile(r"(?:[^\W_]|[@$!|])(?:[ .\-_*~](?:[^\W_]|[@$!|])){3,}(?!\w)")  # letters spaced out
 _IN_TOKEN = re.compile(
-    rf"(?<!\S)[^\W\d_]{{0,24}}(?:[{_LOOK}]{{1,2}}[^\W\d_]{{1,24}}){{1,6}}[{_LOOK}]?(?!\w)"  # look-alikes before or between letters
-    rf"|(?<!\S)[^\W\d_]{{2,24}}[0-9@$](?![\w@$])"  # one at the end
-    rf"|(?<!\S)[^\W\d_]+(?:[.\-_*~][^\W\d_]+){{1,8}}(?!\w)"  # broken up
+    rf"(?<!\S)[^\W\d_]*(?:[{_LOOK}]+[^\W\d_]+)+[{_LOOK}]*(?!\w)"  # look-alikes before or between letters
+    rf"|(?<!\S)[^\W\d_]{{2,}}[0-9@$](?![\w@$])"  # one at the end
+    rf"|(?<!\S)[^\W\d_]+(?:[.\-_*~][^\W\d_]+)+(?!\w)"  # broken up
     r"|[^\W\d_]*([^\W\d_])\1{2,}[^\W\d_]*"  # drawn out
 )
 # What the patterns above can't do without, quick to look for: a sign beside a letter; a letter alone beside others.
@@ -143,26 +143,41 @@ def _choices(run: str) -> list[list[tuple[int | None, float]]]:
 def readings(run: str, model: list, n: int = READINGS) -> list[str]:
     """The n likeliest readings of a suspicious run in lower case, best first.
 
+    A state is the last two letters; its n best paths of different text are kept at each character, however long the run.
     The model is ``log_model`` as nested lists, which single lookups are quicker in.
     """
-    beam = {(0, 0): [(0.0, "")]}
+    states: dict[tuple[int, int], list[tuple]] = {(0, 0): [(0.0, 0, None)]}  # log probability, hash of the text, (text before, letter)
     for options in _choices(run):
-        grown: dict[tuple[int, int], list[tuple[float, str]]] = {}
-        for (a, b), paths in beam.items():
+        grown: dict[tuple[int, int], list[tuple]] = {}
+        for (a, b), paths in states.items():
             after = model[a][b]
             for letter, cost in options:
                 if letter is None:
-                    grown.setdefault((a, b), []).extend((s + cost, t) for s, t in paths)
+                    grown.setdefault((a, b), []).extend((s + cost, h, t) for s, h, t in paths)
                 else:
                     cost += after[letter]
-                    say = " " if letter == 0 else LETTERS[letter - 1] if letter < _ALPHABET - 1 else "?"
-                    grown.setdefault((b, letter), []).extend((s + cost, t + say) for s, t in paths)
-        flat = sorted(((s, t, state) for state, paths in grown.items() for s, t in sorted(set(paths), reverse=True)[:n]), reverse=True)[:BEAM]
-        beam = {}
-        for s, t, state in flat:
-            beam.setdefault(state, []).append((s, t))
-    ends = sorted(((s + model[a][b][0], t) for (a, b), paths in beam.items() for s, t in paths), reverse=True)
-    return list(dict.fromkeys(t for _, t in ends))[:n]
+                    grown.setdefault((b, letter), []).extend((s + cost, (h * 0x9E3779B97F4A7C15 + letter + 1) & 0xFFFFFFFFFFFFFFFF, (t, letter)) for s, h, t in paths)
+        states = {state: paths if len(paths) == 1 else _best(paths, n) for state, paths in grown.items()}
+    return [_said(t) for _, _, t in _best([(s + model[a][b][0], h, t) for (a, b), paths in states.items() for s, h, t in paths], n)]
+
+
+def _best(paths: list[tuple], n: int) -> list[tuple]:
+    """The n likeliest of different text; ties by the hash of the text."""
+    out: dict[int, tuple] = {}
+    for path in sorted(paths, key=lambda p: (-p[0], p[1])):
+        if path[1] not in out:
+            out[path[1]] = path
+            if len(out) == n:
+                break
+    return list(out.values())
+
+
+def _said(text: tuple | None) -> str:
+    out = []
+    while text is not None:
+        text, letter = text
+        out.append(" " if letter == 0 else LETTERS[letter - 1] if letter < _ALPHABET - 1 else "?")
+    return "".join(reversed(out))
 
 
 def restored(text: str | None, read) -> str:
@@ -170,7 +185,7 @@ def restored(text: str | None, read) -> str:
     if not text:
         return ""
     low = text.lower()
-    more = [r for run in suspicious(low) for k in range(0, len(run), RUN) for r in read(run[k : k + RUN]) if r != run]
+    more = [r for run in suspicious(low) for r in read(run) if r != run]
     return f"{low} {' '.join(more)}" if more else low
 
 
@@ -249,9 +264,9 @@ def _own(text: str | None, read) -> np.ndarray:
 
 
 def lexicon_of(toxic: DataFrame, clean: DataFrame, trigrams: np.ndarray, n1: int, n0: int) -> Lexicon:
-    """Features that at least one in a hundred toxic texts have, with the lower bound of their log odds where that is over 0.
+    """Features of ``LEAST_TEXTS`` toxic texts or more, with the lower bound of their log odds where that is over 0.
 
-    So many hundred times a text's features bound their number. Reads ``text`` of both.
+    Their number is bounded by the sample's. Reads ``text`` of both.
     """
     shared = toxic.sparkSession.sparkContext.broadcast(trigrams)
 
@@ -263,7 +278,7 @@ def lexicon_of(toxic: DataFrame, clean: DataFrame, trigrams: np.ndarray, n1: int
                 h, n = np.unique(np.concatenate(own), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int32()), pa.array(n, pa.int64())], ["h", "n"])
 
-    found = toxic.select("text").mapInArrow(first, "h int, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, n1 // 100)).toArrow()
+    found = toxic.select("text").mapInArrow(first, "h int, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS).toArrow()
     keys, yes = found.column(0).to_numpy(), found.column(1).to_numpy()
     order = np.argsort(keys)
     keys, yes = keys[order], yes[order]
@@ -357,5 +372,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of each row; see ``train`` and ``score`` for odd rows. Rows of a score are answered alike."""
     own = score(docs.select("doc_id", "text"), train(docs, labels))
     return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
