@@ -82,9 +82,9 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN word USING (r) LEFT JOIN items USING (r)
     """,
-    "op2_line_dedup": """
-        WITH line AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line, string_split(trim(l[i], ' '), ' ') AS w FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
-        own AS (SELECT w, min((doc_id, line_no)) AS pos FROM line WHERE len(w) >= 5 GROUP BY w),
+    "op2_line_dedup": r"""
+        WITH line AS (SELECT doc_id, i - 1 AS line_no, l[i] AS line, string_split(trim(l[i], ' '), ' ') AS w, NOT regexp_matches(l[i], '[^\s\p{Z}\x0B\x1C-\x1F\x85]') AS blank FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+        own AS (SELECT w, min((doc_id, line_no)) AS pos FROM line WHERE NOT blank GROUP BY w),
         variant AS (
             SELECT pos, w, hash(array_to_string(w[1:i - 1], ' ') || chr(1) || array_to_string(w[i + 1:], ' ')) AS k FROM (SELECT pos, w, unnest(range(1, len(w) + 1)) AS i FROM own WHERE len(w) >= 10)
             UNION ALL
@@ -93,7 +93,7 @@ ORACLES: dict[str, str] = {
         met AS (SELECT k, min(pos) AS pos FROM variant GROUP BY k HAVING count(*) > 1),
         near AS (SELECT DISTINCT variant.pos FROM variant JOIN met USING (k) WHERE variant.pos > met.pos),
         kept AS (SELECT pos FROM own WHERE pos NOT IN (SELECT pos FROM near)),
-        said AS (SELECT doc_id, line_no, line, len(w) < 5 OR (doc_id, line_no) IN (SELECT pos FROM kept) AS stays FROM line),
+        said AS (SELECT doc_id, line_no, line, blank OR (doc_id, line_no) IN (SELECT pos FROM kept) AS stays FROM line),
         doc AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (stays), '') AS text FROM said GROUP BY doc_id)
         SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, doc.text FROM documents LEFT JOIN doc ON documents.doc_id = doc.doc_id
     """,
