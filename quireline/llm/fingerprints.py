@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 BITS = 20
 #: Share of documents that have a term: its idf is between log(1 / HIGH) and log(1 / LOW).
 LOW, HIGH = 0.001, 0.2
-#: The random subsets of each density: those of density s have one term in 2**s of the lexicon. The k-th subset of a density
-#: is part of the k-th of the density before, so terms are hashed once for all k-th ones.
-DENSITIES = {2: 7, 3: 7, 4: 7, 5: 7, 6: 7, 7: 7, 8: 7, 9: 7}
+#: Random subsets of each density: those of density s have one term in 2**s of the lexicon. The k-th subset of a density is
+#: part of the k-th of the density before, so terms are hashed once for all k-th ones.
+DENSITIES = (2, 3, 4, 5, 6, 7, 8, 9)
+SUBSETS = 14
+
 #: Documents in a range of ids, about, and the most ranges that there are.
 RANGE, RANGES = 2000, 10_000
 
@@ -40,50 +42,44 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> Column:
     return F.split(F.lit(",".join(map(str, flags))), ",").cast("array<bigint>")  # folded to one constant when planned
 
 
-def _subsets(terms: Column, k: int) -> Column:
-    """Hash of the terms in the k-th subset of each density, "-" of none; each density is filtered from what the one before kept."""
-    say = lambda own: F.when(F.size(own) == 0, F.lit("-")).otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(F.transform(own, lambda t: t["term"]))), 16, "0")), 1, 8))
-    own = F.transform(terms, lambda t: F.struct(t.alias("term"), F.xxhash64(t, F.lit(k)).alias("h")))
-    first, *more = DENSITIES
-    narrowed = lambda rows, s: F.filter(rows, lambda t: t["h"].bitwiseAND((1 << s) - 1) == 0)
-
-    def said(rows: Column, rest: list[int]) -> Column:
-        """"rows" is held once, as the entry of an array."""
-        if not rest:
-            return F.transform(F.array(rows), say)[0]
-        return F.transform(F.array(rows), lambda r: F.concat_ws(":", say(r), said(narrowed(r, rest[0]), rest[1:])))[0]
-
-    return said(narrowed(own, first), more)
-
-
 def with_fingerprint(rows: DataFrame, text: str, name: str, bits: Column) -> DataFrame:
-    """Adds the fingerprint of a text column: the hash of all kept terms, then one of each subset, "-" where it has none of them.
+    """Adds the fingerprint of a text column: the hash of all kept terms, then one of each subset, density by density, "-" where
+    it has none of them.
 
     A text without kept terms is hashed as it is, so that equal texts agree and others don't.
     """
     kept = F.filter(_terms(F.col(text)), lambda t: F.get(bits, F.shiftright(t, 5)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(31))) != 0)
-    parts = [_subsets(F.col("_kept"), k) for k in range(min(DENSITIES.values()))]
     whole = F.when(F.size("_kept") == 0, F.xxhash64(F.lit("text"), text)).otherwise(F.xxhash64("_kept"))
-    return rows.withColumn("_kept", F.array_sort(kept)).withColumn(name, F.concat_ws(":", F.lower(F.lpad(F.hex(whole), 16, "0")), *parts)).drop("_kept")
+    say = lambda k: F.when(F.size(f"_s{k}") == 0, F.lit("-")).otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(f"_s{k}")), 16, "0")), 1, 5))
+    own = rows.withColumn("_kept", F.array_sort(kept))
+    hashed = [_hashed(k).alias(f"_s{k}") for k in range(SUBSETS)]
+    own = own.select(*rows.columns, F.lower(F.lpad(F.hex(whole), 16, "0")).alias("_said"), *hashed)
+    for s in DENSITIES:  # each is filtered from what the density before kept
+        own = own.select(*rows.columns, "_said", *(_narrowed(k, s).alias(f"_s{k}") for k in range(SUBSETS)))
+        own = own.withColumn("_said", F.concat_ws(":", "_said", *(say(k) for k in range(SUBSETS))))
+    return own.select(*rows.columns, F.col("_said").alias(name))
+
 
+def _hashed(k: int) -> Column:
+    return F.transform("_kept", lambda t: F.xxhash64(t, F.lit(k)))
 
-def likeness(a: str, b: str) -> Column:
-    """From 0 to 1: of the densities, the best share of subsets that agree among those with terms in either text; 1 for equal fingerprints.
+
+def _narrowed(k: int, s: int) -> Column:
+    """A subset's terms stand for themselves by their hash, which also says which densities they are in."""
+    return F.filter(f"_s{k}", lambda h: h.bitwiseAND((1 << s) - 1) == 0)
+
+
+def with_likeness(rows: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Adds, from 0 to 1, the best share, over densities, of subsets that agree among those with terms in either text; 1 for equal fingerprints.
 
     Dense subsets of long texts never outlast an edit and sparse ones of short texts are mostly empty, so the density that
     suits the texts speaks for them.
     """
     pairs = F.arrays_zip(F.split(a, ":").alias("x"), F.split(b, ":").alias("y"))
-    sizes = list(DENSITIES)
-
-    def best(zipped: Column) -> Column:
-        shares = []
-        for k in range(len(sizes)):  # the whole's hash stands first, then the densities of each k in turn
-            own = F.filter(zipped, lambda p, i, k=k: (i > 0) & ((i - 1) % len(sizes) == k) & ((p["x"] != "-") | (p["y"] != "-")))
-            shares.append(F.transform(F.array(own), lambda o: F.when(F.size(o) < 2, 0.0).otherwise(F.size(F.filter(o, lambda p: p["x"] == p["y"])) / F.size(o)))[0])
-        return F.greatest(*shares)
-
-    return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.transform(F.array(pairs), best)[0])
+    held = [F.filter(F.slice("_pairs", 2 + d * SUBSETS, SUBSETS), lambda p: (p["x"] != "-") | (p["y"] != "-")).alias(f"_d{d}") for d in range(len(DENSITIES))]
+    shares = [F.when(F.size(f"_d{d}") < 2, 0.0).otherwise(F.size(F.filter(f"_d{d}", lambda p: p["x"] == p["y"])) / F.size(f"_d{d}")) for d in range(len(DENSITIES))]
+    own = rows.withColumn("_pairs", pairs).select(*rows.columns, *held)
+    return own.select(*rows.columns, F.when(F.col(a) == F.col(b), 1.0).otherwise(F.greatest(*shares)).alias(name))
 
 
 def _ranges(rows: DataFrame) -> Column:
@@ -151,12 +147,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     both = both.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
     both = with_fingerprint(both.drop("text", "next_text"), "edited", "edited_fingerprint", bits)
-    return both.select(
-        "doc_id",
-        "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next_fingerprint").alias("near_next"),
-    )
+    both = with_likeness(with_likeness(both, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
+    return both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
