@@ -132,7 +132,11 @@ def test_a_benchmark_beyond_one_automaton(spark, monkeypatch):
     texts = [f"{items[k][1]} {sentence(rng, 5)} {items[k + 1][1]}" for k in range(0, 12, 2)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     whole = decontamination.digest(decontamination.find(docs_of(spark, texts), bench)).toPandas()
+    kept = {r.doc_id for r in decontamination.clean(docs_of(spark, [*texts, "clean"]), bench).collect()}
     monkeypatch.setattr(decontamination, "AUTOMATON_BYTES", 500)
+    assert {r.doc_id for r in decontamination.clean(docs_of(spark, [*texts, "clean"]), bench).collect()} == kept == {6}
+    nameless = bench.select(F.lit(None).cast("long").alias("item_id"), "text")
+    assert decontamination.digest(decontamination.find(docs_of(spark, texts), nameless)).where("contaminated and n_items = 0").count() == 6
     parts = decontamination.digest(decontamination.find(docs_of(spark, texts), bench)).toPandas()
     assert whole.sort_values("doc_id").values.tolist() == parts.sort_values("doc_id").values.tolist() and (whole.n_items == 2).all()
 
@@ -146,7 +150,7 @@ def brute_lines(rows):
     split = lambda s: s.strip(" ").split(" ")
     for i, text in rows:
         for k, line in enumerate((text or "").split("\n") if text is not None else []):
-            if len(split(line)) >= 5:
+            if line.strip():
                 first.setdefault(tuple(split(line)), (i, k))
 
     def apart(a, b):
@@ -163,7 +167,7 @@ def brute_lines(rows):
     long = sorted((at, w) for w, at in first.items() if len(w) >= 10)
     gone = {at for (at, w) in long if any(at > at2 and apart(w, w2) for at2, w2 in long)}
     kept = set(first.values()) - gone
-    return {i: None if t is None else "\n".join(line for k, line in enumerate(t.split("\n")) if len(split(line)) < 5 or (i, k) in kept) for i, t in rows}
+    return {i: None if t is None else "\n".join(line for k, line in enumerate(t.split("\n")) if not line.strip() or (i, k) in kept) for i, t in rows}
 
 
 def test_line_dedup_against_brute_force(spark):
@@ -191,6 +195,15 @@ def test_line_dedup_against_brute_force(spark):
     assert linededup.cleaned(docs_of(spark, texts)).columns == [*docs_of(spark, []).columns, "_n_lines", "_n_dropped"]
 
 
+def test_chains_and_very_long_lines(spark):
+    words = [f"w{k}" for k in range(12)]
+    chain = [" ".join([f"x{j}" if j < k else w for j, w in enumerate(words)]) for k in range(6)]
+    long = [f"y{k}" for k in range(30_000)]
+    docs = docs_of(spark, [*chain, " ".join(long), " ".join([*long[:20_000], "other", *long[20_001:]]), " ".join([*long[:20_000], "other", "more", *long[20_002:]])])
+    got = {r.doc_id: r.n_dropped for r in linededup.dedup(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 0, 7: 1, 8: 1}
+
+
 # --- near-dedup
 
 
@@ -253,6 +266,12 @@ def test_a_large_group_of_near_copies_in_small_blocks(spark, monkeypatch):
     assert got == {x: least for x, (_, least) in brute_components(list(enumerate(texts)), 3, 85).items()}
 
 
+def test_blocks_of_one_key_are_dealt_apart(spark):
+    rows = spark.range(1000).selectExpr("id % 2 as key", "id as node", "id as n")
+    plan = neardup._blocks(rows, F.lit(neardup.BLOCK // 10)).groupBy("key", "i", "j").applyInPandas(lambda pdf: pdf[["key"]], "key long")._jdf.queryExecution().toString()
+    assert re.search(r"Exchange hashpartitioning\(key#\d+L?, i#\d+L?, j#\d+L?", plan), plan
+
+
 def test_near_dedup_odd_tables(spark):
     assert neardup.link(docs_of(spark, []), neardup.plan()).count() == 0
     assert neardup.dedup(docs_of(spark, [None, ""])).count() == 2
@@ -298,14 +317,53 @@ def test_fingerprints(spark):
     assert lone.doc_id is None and lone.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and lone.near_next == 1
 
 
-def test_the_next_row_over_many_ranges(spark, monkeypatch):
+@pytest.mark.parametrize("far", [[], [2**63 - 1, -(2**63)]])
+def test_the_next_row_over_many_ranges(spark, monkeypatch, far):
     monkeypatch.setattr(fingerprints, "RANGE", 3)
-    ids = random.Random(2).sample(range(10_000), 60)
+    ids = random.Random(2).sample(range(10_000), 60 - len(far)) + far
     got = {r.doc_id: r.next_text for r in fingerprints.with_next(docs_of(spark, [f"t{i}" for i in ids], ids).select("doc_id", "text"), "text").collect()}
     down = sorted(ids, reverse=True)
     assert got == {i: f"t{down[(k + 1) % 60]}" for k, i in enumerate(down)}
 
 
+def test_ranges_hold_alike_many_whatever_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE", 50)
+    rows = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 when id % 3 = 1 then null when id = 2 then 9223372036854775807 else id end as doc_id", "concat('t', id) as text")
+    placed = rows.withColumn("_tie", F.xxhash64("text"))
+    sizes = [r["count"] for r in placed.withColumn("_range", fingerprints._ranges(placed)).groupBy("_range").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 400
+    got = {r.text: r.next_text for r in fingerprints.with_next(rows, "text").collect()}
+    order = [r.text for r in placed.orderBy(F.desc_nulls_last("doc_id"), "_tie").collect()]
+    assert got == {t: order[(k + 1) % 3000] for k, t in enumerate(order)}
+
+
+def test_fingerprints_against_brute_force(spark):
+    """Terms in the band, and subsets of subsets, worked out in plain Python over hashes that Spark gives."""
+    rng = random.Random(9)
+    texts = near_texts(rng, 4, 5)
+    docs = docs_of(spark, texts)
+    df = Counter()
+    sets = {r.doc_id: set(r.t) for r in docs.select("doc_id", fingerprints._terms(F.col("text")).alias("t")).collect()}
+    for own in sets.values():
+        df.update(own)
+    low, high = max(2, fingerprints.LOW * len(texts)), max(2, fingerprints.HIGH * len(texts))
+    band = sorted(t for t, n in df.items() if low <= n <= high)
+    subsets = range(fingerprints.SUBSETS)
+    h = {(r.t, k): r[f"h{k}"] for r in spark.createDataFrame([(t,) for t in band], "t int").select("t", *(F.xxhash64("t", F.lit(k)).alias(f"h{k}") for k in subsets)).collect() for k in subsets}
+    want = {i: [[h[t, k] for t in sorted(own & set(band)) if h[t, k] & ((1 << s) - 1) == 0] for s in fingerprints.DENSITIES for k in subsets] for i, own in sets.items()}
+    say = spark.createDataFrame(list(want.items()), "doc_id long, subsets array<array<long>>")
+    say = {r.doc_id: r.s for r in say.select("doc_id", F.transform("subsets", lambda x: F.when(F.size(x) == 0, "-").otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")), 1, 5))).alias("s")).collect()}
+    got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
+    for i, r in got.items():
+        assert r.fingerprint.split(":")[1:] == say[i]
+        a, b = r.fingerprint.split(":")[1:], got[(i - 1) % len(texts)].fingerprint.split(":")[1:]
+        shares = [0.0]
+        for at in range(0, len(a), fingerprints.SUBSETS):
+            pairs = [(x, y) for x, y in zip(a[at : at + fingerprints.SUBSETS], b[at : at + fingerprints.SUBSETS], strict=True) if x != "-" or y != "-"]
+            shares.append(sum(x == y for x, y in pairs) / len(pairs) if len(pairs) > 1 else 0.0)
+        assert r.near_next == pytest.approx(1.0 if r.fingerprint == got[(i - 1) % len(texts)].fingerprint else max(shares))
+
+
 # --- classifiers
 
 
@@ -392,6 +450,32 @@ def test_readings_follow_the_model():
     assert toxicity.restored("a clean text, it is", lambda run: ["no"]) == "a clean text, it is"
 
 
+def test_readings_are_the_best_of_all_paths():
+    rng = np.random.default_rng(3)
+    model = np.log(rng.dirichlet(np.ones(toxicity._ALPHABET), (toxicity._ALPHABET, toxicity._ALPHABET))).tolist()
+    for run in ("*1*#|b", "a a 1 6", "##**##", "g00o..d"):
+        best = defaultdict(lambda: -np.inf)
+        for path in itertools.product(*toxicity._choices(run)):
+            a, b, score, text = 0, 0, 0.0, ""
+            for letter, cost in path:
+                score += cost
+                if letter is not None:
+                    score += model[a][b][letter]
+                    a, b, text = b, letter, text + (" " if letter == 0 else toxicity.LETTERS[letter - 1] if letter < toxicity._ALPHABET - 1 else "?")
+            best[text] = max(best[text], score + model[a][b][0])
+        assert toxicity.readings(run, model) == sorted(best, key=best.get, reverse=True)[: toxicity.READINGS], run
+
+
+def test_long_runs_are_decoded_whole():
+    counts = np.zeros(toxicity._ALPHABET**3, np.int64)
+    a = toxicity._folded(subwords.layout(["idiot"] * 50)[0])
+    np.add.at(counts, (a[:-2] * toxicity._ALPHABET + a[1:-1]) * toxicity._ALPHABET + a[2:], 1)
+    model = toxicity.log_model(counts).tolist()
+    run = " ".join("idiot" * 100)
+    assert toxicity.suspicious(f"x {run} ,") == [f"x {run}"] and "idiot" * 100 in toxicity.readings(run, model)[0].replace(" ", "")
+    assert toxicity.suspicious("b1" * 40 + "d") == ["b1" * 40 + "d"]
+
+
 # --- secrets
 
 
@@ -410,14 +494,14 @@ def test_secrets_against_brute_force(spark):
     rng = random.Random(12)
     bits = ["password", "PassWD = ", "token:", "secret", "api_key='", "apikey", "API_KEY", '"', " ", ":", "=", "AKIA", "AKIAAKIA", "ABCDEFGHIJKLMNOP0", "deadbeef" * 3, "deadbeef", "x9Kq+/", "abc", "é", "ſecret=abcdefg", "toKen=abcdefgh", "\n", "-.", "toKen", "pwd: xK9#mQ2$vL7!", "https://bob:hunter2Zq9xWv@h/"]
     texts = [*ODD, *("".join(rng.choice(bits) for _ in range(rng.randrange(2, 14))) for _ in range(300))]
-    got = {r.doc_id: r for r in secrets.digest(secrets.scan(docs_of(spark, texts), {"abc": 1})).collect()}
+    got = {r.doc_id: r for r in secrets.digest(secrets.scan(docs_of(spark, texts))).collect()}
     for i, text in enumerate(texts):
         want = brute_secrets(text)
         assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest(), text
         assert set(filter(None, want.split(","))) <= set(got[i].spans.split(","))
         assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(x.startswith(k) for x in want.split(",")) for k in ("assign", "access", "hex"))
     assert sum(r.n_guess for r in got.values()) > 5
-    assert secrets.scan(docs_of(spark, []), {}).count() == 0
+    assert secrets.scan(docs_of(spark, [])).count() == 0
 
 
 def test_guess_costs_are_in_order():
@@ -428,9 +512,29 @@ def test_guess_costs_are_in_order():
     assert cost("riverstone") < 4 < cost("rvxqzstmkb") and cost("x9K#q2Lm!zR7w") >= secrets.GUESSES and cost("") == 0
 
 
-def test_words_are_ranked_over_whole_texts(spark):
-    ranks = secrets.word_ranks(docs_of(spark, ["pad " * 5000 + "zebra zebra zebra", "zebra yak", None]), 2)
-    assert {w for w, k in ranks.items() if k > len(set(secrets.COMMON))} == {"pad", "zebra"}
+def test_the_vocabulary_is_that_of_whole_texts(spark):
+    docs = docs_of(spark, ["pad " * 5000 + "zebra zebra password = yakyak7", "zebra yak", None])
+    found = docs.sparkSession.createDataFrame([("yakyak7",)], "value string")
+    got = {r.w: r.guesses for r in secrets.vocabulary(docs, found).collect()}
+    size = len("pad " * 5000 + "zebra zebra password = yakyak7") + len("zebra yak")
+    assert got == {"pad": size / 20_000, "zebra": size / 18, "password": size / 9, "yak": size / 4}
+
+
+def test_guess_spans_against_brute_force(spark):
+    rng = random.Random(21)
+    values = ["river", "riverstone77", "x9K#q2Lm!zR7w", "hunter", "qwertyuiop12", "ab" * 30, "Stone-River-1999", "deadbeef" * 3, "zqxwvutsrq", "".join(rng.choice("abcdefghijkmnop") for _ in range(40))]
+    texts = [*ODD, *(f"{rng.choice(['password: ', 'token = ', 'login is ', 'https://u:'])}{v}{rng.choice([' ', '@h/ ', chr(10)])}the river has a stone and the stone a river" for v in values for _ in range(3))]
+    got = {r.doc_id: [(s.kind, s.start, s.end, s.cost) for s in r.spans] for r in secrets.scan(docs_of(spark, texts)).collect()}
+    words, size = Counter(), sum(len(t or "") for t in texts)
+    for t in texts:
+        words.update(re.findall(r"[^\W\d_]+", (t or "").lower()))
+        for _, _, v in secrets.places(t or ""):
+            words.subtract(re.findall(r"[^\W\d_]+", v.lower()))
+    guesses = {w: size / (n * (len(w) + 1)) for w, n in words.items() if n > 0 and 3 <= len(w) <= 32} | {w: k for k, w in enumerate(dict.fromkeys(secrets.COMMON), 1)}
+    for i, text in enumerate(texts):
+        want = [("guess", a, b) for a, b, v in secrets.places(text or "") if secrets.guess_cost(v, guesses) >= secrets.GUESSES]
+        assert [x[:3] for x in got[i] if x[0] == "guess"] == want and all((c is None) == (k != "guess") for k, _, _, c in got[i])
+    assert 0 < sum(x[0] == "guess" for own in got.values() for x in own) < 30
 
 
 # --- token counts
@@ -451,6 +555,14 @@ def test_rollups_follow_a_recount(spark, tmp_path):
         ledger.commit("../x", rollups.inserted(rows))
     want = rollups.summed(rollups.inserted(rows.where("doc_id % 5 > 1").unionByName(after)))
     assert sorted(map(str, ledger.totals().collect())) == sorted(map(str, want.collect()))
+    assert ledger.compact() and not ledger.compact() and sorted(map(str, ledger.totals().collect())) == sorted(map(str, want.collect()))
+    assert not ledger.commit("b2", rollups.deleted(gone)) and ledger.commit("b4", rollups.inserted(gone)) and ledger.commit("b5", rollups.deleted(gone))
+    assert sorted(map(str, ledger.totals().collect())) == sorted(map(str, want.collect())) and ledger.compact()
+    assert not ledger._publish("commits/b4", "data/b4", rollups.inserted(gone), [])  # a second writer that came as far as the marker
+    (tmp_path / "ledger" / "commits" / "b6").touch()  # a writer that was lost after its marker
+    rollups.summed(rollups.inserted(gone)).write.parquet(str(tmp_path / "ledger" / "data" / "b6" / "x"))
+    more = rollups.summed(want.unionByName(rollups.inserted(gone)))
+    assert sorted(map(str, ledger.totals().collect())) == sorted(map(str, more.collect()))
     import tiktoken
 
     for version in rollups.VERSIONS:
@@ -507,9 +619,61 @@ def test_shards_of_a_host_meet_by_name(spark, monkeypatch):
 
 def test_repeats_against_brute_force():
     rng = random.Random(16)
-    streams = [[rng.choice("abc") for _ in range(rng.randrange(0, 40))] for _ in range(12)]
-    want = Counter()
-    for s in streams:
-        want.update({htmltext._name(s[k : k + 4]) for k in range(len(s) - 3)})
-    assert dict(zip(*htmltext.repeated(streams, False, 4), strict=True)) == dict(want)
-    assert dict(zip(*htmltext.repeated(streams, True, 4), strict=True)) == {k: n for k, n in want.items() if n > 1}
+    for n in (12, 1, 3):
+        streams = [[rng.choice("abc") for _ in range(rng.randrange(1, 40))] for _ in range(n)] + [["a"] * 30]
+        has = defaultdict(set)
+        for k, s in enumerate(streams):
+            for i in range(len(s) - 3):
+                has[tuple(s[i : i + 4])].add(k)
+        covered, common, single, names = htmltext.repeated(streams, 4)
+        at, by_name = 0, defaultdict(set)
+        for k, s in enumerate(streams):
+            cov, com = set(), set()
+            for i in range(len(s) - 3):
+                by_name[int(names[at + i])].add(tuple(s[i : i + 4]))
+                own = has[tuple(s[i : i + 4])]
+                assert bool(single[at + i]) == (len(own) == 1)
+                cov.update(range(i, i + 4) if len(own) > 1 else ())
+                com.update(range(i, i + 4) if len(own) > 1 and len(own) >= max(4, len(streams) / 4) else ())
+            assert set(np.flatnonzero(covered[at : at + len(s)])) == cov and set(np.flatnonzero(common[at : at + len(s)])) == com
+            at += len(s)
+        assert all(len(v) == 1 for v in by_name.values()) and len(by_name) == len(has)
+
+
+def test_suffix_array_against_sorting():
+    rng = random.Random(17)
+    streams = [[rng.choice("ab") for _ in range(rng.randrange(1, 50))] for _ in range(6)] + [["a"] * 40, ["a"] * 40]
+    flat = [c for s in streams for c in s]
+    left = np.concatenate([np.arange(len(s), 0, -1) for s in streams])
+    order, common = htmltext.suffixes(np.array([ord(c) - 97 for c in flat]), left)
+    own = [tuple(flat[k : k + left[k]]) for k in order]
+    assert own == sorted(own) and sorted(order.tolist()) == list(range(len(flat)))
+    for k in range(1, len(own)):
+        n = 0
+        while n < min(len(own[k]), len(own[k - 1])) and own[k][n] == own[k - 1][n]:
+            n += 1
+        assert common[k] == n
+
+
+def test_repeats_decide_what_stands_beside_an_article(spark, sf, monkeypatch):
+    monkeypatch.setattr(htmltext, "SEEN", 50)
+    rng = random.Random(18)
+    menu, box = sentence(rng, 12), sentence(rng, 15)
+    rows = []
+    for _ in range(20):
+        body, quote = sentence(rng, 60), sentence(random.Random(5), 20)
+        rows.append(("http://a.example/", f"<div class=top>{menu}</div><article><p>{body}</p><p>{quote if len(rows) < 2 else sentence(rng, 20)}</p><div class=box>{box}</div></article><div class=lead>{sentence(rng, 20)}</div>"))
+    got = extracted(spark, rows)
+    for k, (_, html) in enumerate(rows):
+        ps = re.findall("<p>(.*?)</p>", html)
+        assert got[k].text.split("\n") == [*ps, re.search("lead>(.*?)<", html)[1]], k  # quoted paragraphs stay, the menu and the box go
+    off = htmltext.extract(spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string"), 10**6).collect()
+    assert all(menu in r.text and box in r.text for r in off)
+
+
+def test_extraction_on_marked_pages_and_without_the_method(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    marked = {r.page_id: "\n".join(t for t, kind in htmltext.blocks(r.html) if kind == htmltext.INSIDE) for r in pages.collect()}
+    assert {r.page_id: r.text for r in htmltext.extract(pages).collect()} == marked
+    off = {r.page_id: r.text for r in htmltext.extract(pages, 10**6).collect()}
+    assert sum(off[i] != marked[i] for i in marked) > 0.9 * len(marked)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quireline.llm import queries
@@ -44,6 +45,23 @@ def test_stages_of_an_empty_table(spark, sf):
 
 
 def test_stages_keep_odd_rows(spark, sf):
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (3, "a b", "en", "s", 3), (None, "lone row of plain words", None, None, None)], schema)
+    more = docs.withColumn("quality_score", F.lit(5.0)).withColumn("_n_lines", F.lit("x")).withColumn("_n_dropped", F.lit("y")).withColumn("rows", F.lit(1))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        rows = stage(spark, more, sf).collect()
+        assert all((r.quality_score, r._n_lines, r._n_dropped, r.rows) == (5.0, "x", "y", 1) for r in rows) and len(rows) == stage(spark, docs, sf).count(), name
+    assert corpus_pipeline.packed(spark, more, sf).count() == 4
+
+
+def test_leaks_are_found_by_row(spark, sf):
+    leak = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    docs = spark.createDataFrame([(None, leak), (5, leak), (5, "clean words"), (7, "clean words"), (None, "clean")], "doc_id long, text string")
+    got = corpus_pipeline.unleaked(spark, docs, sf).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in docs.collect() if r.text != leak)
+
+
+def test_some_odd_rows_of_the_middle_stages(spark, sf):
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (3, "a b", "en", "s", 3), (None, "lone row of plain words", None, None, None)], schema)
     for name, stage in corpus_pipeline.STAGES[1:4]:
