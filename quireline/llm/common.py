@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """The same rows, written to a table in the shared folder and cut from their lineage; readers skip the columns they don't need."""
     place = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(place)
+    df.write.option("compression", "zstd").parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 

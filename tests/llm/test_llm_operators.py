@@ -625,7 +625,7 @@ def test_repeats_against_brute_force():
         for k, s in enumerate(streams):
             for i in range(len(s) - 3):
                 has[tuple(s[i : i + 4])].add(k)
-        covered, common, single, names = htmltext.repeated(streams, 4)
+        covered, common, single, names = htmltext.repeated(htmltext.hashed([c for s in streams for c in s]), np.array([len(s) for s in streams]), 4)
         at, by_name = 0, defaultdict(set)
         for k, s in enumerate(streams):
             cov, com = set(), set()
