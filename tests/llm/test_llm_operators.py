@@ -348,20 +348,21 @@ def test_fingerprints_against_brute_force(spark):
         df.update(own)
     low, high = max(2, fingerprints.LOW * len(texts)), max(2, fingerprints.HIGH * len(texts))
     band = sorted(t for t, n in df.items() if low <= n <= high)
-    subsets = range(fingerprints.SUBSETS)
-    h = {(r.t, k): r[f"h{k}"] for r in spark.createDataFrame([(t,) for t in band], "t int").select("t", *(F.xxhash64("t", F.lit(k)).alias(f"h{k}") for k in subsets)).collect() for k in subsets}
-    want = {i: [[h[t, k] for t in sorted(own & set(band)) if h[t, k] & ((1 << s) - 1) == 0] for s in fingerprints.DENSITIES for k in subsets] for i, own in sets.items()}
-    say = spark.createDataFrame(list(want.items()), "doc_id long, subsets array<array<long>>")
-    say = {r.doc_id: r.s for r in say.select("doc_id", F.transform("subsets", lambda x: F.when(F.size(x) == 0, "-").otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")), 1, 5))).alias("s")).collect()}
+    subsets = list(enumerate(fingerprints.SUBSETS))
+    h = {(r.t, k): r[f"h{k}"] for r in spark.createDataFrame([(t,) for t in band], "t int").select("t", *(F.xxhash64("t", F.lit(k)).alias(f"h{k}") for k, _ in subsets)).collect() for k, _ in subsets}
+    want = {i: [[t for t in sorted(own & set(band)) if h[t, k] & ((1 << s) - 1) == 0] for k, s in subsets] for i, own in sets.items()}
+    say = spark.createDataFrame(list(want.items()), "doc_id long, subsets array<array<int>>")
+    say = {r.doc_id: r.s for r in say.select("doc_id", F.transform("subsets", lambda x: F.when(F.size(x) == 0, "-").otherwise(F.substring(F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")), 1, 8))).alias("s")).collect()}
     got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
     for i, r in got.items():
+        other = got[(i - 1) % len(texts)]
         assert r.fingerprint.split(":")[1:] == say[i]
-        a, b = r.fingerprint.split(":")[1:], got[(i - 1) % len(texts)].fingerprint.split(":")[1:]
-        shares = [0.0]
-        for at in range(0, len(a), fingerprints.SUBSETS):
-            pairs = [(x, y) for x, y in zip(a[at : at + fingerprints.SUBSETS], b[at : at + fingerprints.SUBSETS], strict=True) if x != "-" or y != "-"]
+        shares, at = [0.0], 0
+        for n in fingerprints.DENSITIES.values():
+            pairs = [(x, y) for x, y in zip(say[i][at : at + n], say[other.doc_id][at : at + n], strict=True) if x != "-" or y != "-"]
             shares.append(sum(x == y for x, y in pairs) / len(pairs) if len(pairs) > 1 else 0.0)
-        assert r.near_next == pytest.approx(1.0 if r.fingerprint == got[(i - 1) % len(texts)].fingerprint else max(shares))
+            at += n
+        assert r.near_next == pytest.approx(1.0 if r.fingerprint == other.fingerprint else max(shares))
 
 
 # --- classifiers
