@@ -66,26 +66,30 @@ def _firsts(docs: DataFrame) -> DataFrame:
     return first.select("h", "first.*", *(f"share{k}" for k in range(2 * PARTS)))
 
 
-#: Entries that running sums are made of at a time.
+#: Words up to which a line's running sums are appended one by one; those of longer lines are made of chunks of so many.
 _CHUNK = 64
+_SHORT = 256
 
 
 def _sided(words: Column) -> Column:
     """Hash of the first k words at k, from none to all: the sum of hashes of word and place.
 
-    Sums within chunks and over chunks are added, so the work is in proportion to a line's words, however long it is.
+    Of a long line sums within chunks and over chunks are added, so the work is in proportion to its words, however many.
     """
     each = F.transform(words, lambda w, k: F.xxhash64(w, k).bitwiseAND((1 << 40) - 1))
     part = lambda g, at, n: F.aggregate(F.slice(g, at, n), F.lit(0).cast("long"), lambda a, x: a + x)
     chunk = F.lit(_CHUNK)
 
-    def running(g: Column) -> Column:
+    def appended(g: Column) -> Column:
+        return F.aggregate(g, F.array(F.lit(0).cast("long")), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+
+    def chunked(g: Column) -> Column:
         ends = F.transform(F.sequence(F.lit(0), F.floor(F.size(g) / chunk).cast("int")), lambda c: part(g, c * chunk + 1, chunk))
-        starts = F.aggregate(ends, F.array(F.lit(0).cast("long")), lambda a, x: F.array_append(a, F.element_at(a, -1) + x))
+        starts = appended(ends)
         # transform over arrays of one entry: what is inside is computed once
         return F.transform(F.array(starts), lambda s: F.transform(F.sequence(F.lit(0), F.size(g)), lambda k: F.get(s, F.floor(k / chunk).cast("int")) + part(g, F.floor(k / chunk).cast("int") * chunk + 1, k % chunk)))[0]
 
-    return F.transform(F.array(each), running)[0]
+    return F.transform(F.array(each), lambda g: F.when(F.size(g) <= _SHORT, appended(g)).otherwise(chunked(g)))[0]
 
 
 def _one_apart(a: Column, b: Column) -> Column:
