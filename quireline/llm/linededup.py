@@ -33,8 +33,8 @@ def _words(line: Column) -> Column:
 
 
 def _blank(line: Column) -> Column:
-    """Of white space alone; such lines separate paragraphs."""
-    return ~T.not_blank(line)
+    """Of white space alone; such lines separate paragraphs. Lines that begin with a visible ASCII character need no pattern."""
+    return ~(F.ascii(line).between(33, 126) | T.not_blank(line))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
