@@ -28,10 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The same rows, written to a table in the shared folder and cut from their lineage; readers skip the columns they don't need."""
+def durable(df: DataFrame, level: int = 3) -> DataFrame:
+    """The same rows, written to a table in the shared folder and cut from their lineage; readers skip the columns they don't need.
+
+    ``level`` is how hard it is compressed; a table of whole texts is worth more than the default.
+    """
     place = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(place)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
