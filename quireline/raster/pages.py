@@ -189,10 +189,10 @@ def skew_angle(image: np.ndarray, limit: float = 35.0) -> float:
             if abs(a) <= limit:
                 found.append((a, area * (max(rw, rh) / min(rw, rh) - 1)))
     best, steps = 0.0, ((1.0, limit), (0.2, 6), (0.05, 2))
-    if found:
-        best, steps = weighted_median(*np.array(found).T), ((0.5, 8), (0.2, 3), (0.05, 1))
+    if found and (seed := weighted_median(*np.array(found).T)):  # lines that lie straight say nothing: all angles are tried
+        best, steps = seed, ((0.5, 8), (0.2, 3), (0.05, 1))
+    top = -1.0
     for step, reach in steps:
-        top = -1.0
         around = best
         for a in around + step * np.arange(-round(reach / step), round(reach / step) + 1):
             s = projection_score(K.rotated_mask(mask, a))
@@ -260,9 +260,9 @@ def lightened_again(image: np.ndarray, p: LightenParams = LightenParams()) -> np
     size = max(31, int(min(light.shape) * p.background_ratio))
     background = K.median(light, size + 1 - size % 2)
     flat = np.clip(light.astype(np.float64) / np.maximum(background, 1) * 255, 0, 255).astype(np.uint8)
-    light = np.where(~K.otsu(light), K.stretched(flat, 2, 99.8), light)
+    light = np.where(~K.otsu(before), K.stretched(flat, 2, 99.8), flat)
     light = K.normalised(np.rint(K.gaussian(light, 5, 0.6)))
-    edge = K.edges(light, p.canny_low, p.canny_high)
+    edge = K.edges(before, p.canny_low, p.canny_high)
     return _as(image, _unsharp(light, 1.15, 0.8, edge, 0.15), before, p.keep_color)
 
 
@@ -279,9 +279,9 @@ def lightened_more(image: np.ndarray, p: AdvancedLightenParams = AdvancedLighten
     block = max(25, int(p.block_ratio * short))
     text = K.dilate(K.opened(K.adaptive(flat, block + 1 - block % 2, 10), 3, 3), 2, 2)
     calm = np.rint(K.gaussian(K.denoised(flat, p.denoise_h), 7, 1.0)).astype(np.uint8)
-    light = np.where(text, flat, K.stretched(calm, p.stretch_low, p.stretch_high, ~text)).astype(np.uint8)
-    light = K.clahe(light, p.clahe_clip)
-    edge = K.edges(light, p.canny_low, p.canny_high) & text
+    both = np.where(text, flat, calm).astype(np.uint8)
+    light = K.clahe(np.where(text, both, K.stretched(both, p.stretch_low, p.stretch_high)).astype(np.uint8), p.clahe_clip)
+    edge = K.dilate(K.edges(light, p.canny_low, p.canny_high), 3, 3) & text
     return _as(image, _unsharp(light, 1 + p.unsharp, 1.0, edge), before, p.keep_color)
 
 

@@ -102,3 +102,25 @@ def test_a_folder_that_fills(spark, tmp_path):
     for _ in range(2):
         watch.through(watch.files(spark, str(tmp_path / "in")), pdf.split, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_later_passes_start_from_the_evened_page(monkeypatch):
+    page = np.tile(np.linspace(90, 200, 160).astype(np.uint8)[None, :, None], (160, 1, 3))
+    page[40:120:8, 20:140] = 30
+    seen = []
+    edges = pages.K.edges
+    monkeypatch.setattr(pages.K, "edges", lambda light, *a: seen.append(light) or edges(light, *a))
+    out = pages.lightened_again(page)
+    assert (seen[0] == pages._lightness(page)).all()  # edges are those of the page itself
+    row = pages._lightness(out)[10]
+    assert int(row.max()) - int(row.min()) < 60  # bright pixels are evened out as well, from 110 levels
+
+
+def test_straight_lines_search_every_angle(monkeypatch):
+    tried = []
+    monkeypatch.setattr(pages, "weighted_median", lambda values, weights: 0.0)
+    monkeypatch.setattr(pages, "projection_score", lambda mask: float(len(tried) == 1))  # the first angle is best, and stays so
+    monkeypatch.setattr(pages.K, "rotated_mask", lambda mask, a: tried.append(round(float(a), 2)) or mask)
+    page = np.full((200, 300, 3), 255, np.uint8)
+    page[50:54, 20:280] = page[100:104, 20:280] = 0
+    assert pages.skew_angle(page) == -35.0 and min(tried[:71]) == -35 and max(tried) == 35
