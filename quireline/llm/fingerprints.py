@@ -104,14 +104,14 @@ def _ranges(rows: DataFrame) -> Column:
     return F.when(F.col("doc_id").isNull(), dealt(F.lit(-nulls).cast("long"), F.lit(nulls).cast("long"))).otherwise(dealt(low, n))
 
 
-def with_next(rows: DataFrame, *columns: str) -> DataFrame:
+def with_next(rows: DataFrame, *columns: str, tie: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``next_<column>`` of the next row by descending doc_id; after the last comes the first, and a lone row follows itself.
 
     Rows are dealt by ranges of ids, and the head of each range is a guest at the end of the range before it, so no window
-    holds much more than a range. Equal ids are in the order of a hash of the columns, null ids come last; rows that are
-    the same in all of these stand beside each other in any order.
+    holds much more than a range. Equal ids are in the order of a hash of the columns ``tie``, else of all named; null ids
+    come last; rows that are the same in all of these stand beside each other in any order.
     """
-    placed = rows.withColumn("_tie", F.xxhash64(*columns))
+    placed = rows.withColumn("_tie", F.xxhash64(*(tie or columns)))
     placed = placed.withColumn("_range", _ranges(placed.select("doc_id", "_tie")))
     down = Window.orderBy(F.desc("_range"))  # over RANGES rows, twice as many at most
     heads = placed.groupBy("_range").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.bitwise_not("_tie").alias("tie"))).alias("_head"))
@@ -135,7 +135,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bits = lexicon(own)
-    both = with_next(with_fingerprint(own, "text", "fingerprint", bits), "text", "fingerprint")
+    both = with_next(with_fingerprint(own, "text", "fingerprint", bits), "text", "fingerprint", tie=("text",))  # which the fingerprint follows from; the heads of ranges are found without it
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     both = both.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
     both = with_fingerprint(both.drop("text", "next_text"), "edited", "edited_fingerprint", bits)
