@@ -52,3 +52,12 @@ def small(df: DataFrame, items=None) -> DataFrame:
 def held_out(doc_id):
     """Rows never learned from: crc32 of the id as text leaves no rest by five."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def opened(folder: str):
+    """(pyarrow's filesystem, the path in it) of a folder that Spark names by an address or, on one machine, by a path."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    if folder.startswith(("/", "file:/")):
+        return LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return FileSystem.from_uri(folder)

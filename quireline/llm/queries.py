@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import decontamination, fingerprints, htmltext, infilling, linededup, neardup, packing, quality, rollups, secrets, toxicity
+from quireline.llm import decontamination, fingerprints, htmltext, infilling, linededup, neardup, packing, quality, rollups, secrets, tokenfiles, toxicity
 from quireline.llm.common import table
 
 
@@ -55,6 +55,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infilling.digest(infilling.infilled(table(spark, sf_dir, "documents")))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, written to files and read back from them."""
+    return tokenfiles.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_files": op13_token_files,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
