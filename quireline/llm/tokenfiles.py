@@ -34,7 +34,7 @@ PER_FILE = 20_000
 #: It decides how small files are, never what they hold.
 SAMPLED, SAMPLED_CHARS = 2_000, 20_000
 DICTIONARY_BYTES = 1 << 16
-LEVEL = 3
+LEVEL = 1
 
 _MAGIC, _HEAD, _FOOT = b"QLT1", "<4sB32s", "<QQ4s"
 _INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("place", "<u8"), ("n_ids", "<u8")])
@@ -62,13 +62,13 @@ def trained(docs: DataFrame, vocabulary: str) -> bytes:
     return bytes((sample.mapInArrow(run, "dictionary binary").first() or [b""])[0])
 
 
-def _chunks(texts: pa.Array) -> Iterator[list[str | None]]:
-    """Texts in their order, about a million characters at a time, a longer one by itself."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // 1_000_000
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Texts in their order, about sixteen million bytes at a time, a longer one by itself."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // 16_000_000
     cuts = [0, *(1 + np.flatnonzero(np.diff(ends))).tolist(), len(texts)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if a < b:
-            yield texts.slice(a, b - a).to_pylist()
+            yield texts.slice(a, b - a)
 
 
 def _compressor(dictionary: bytes):

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 import shutil
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quireline.llm import queries, tokenfiles, wordids
@@ -31,23 +33,23 @@ def test_ids_are_the_librarys(library):
     own = wordids.WordIds(wordids.public_vocabulary())
     plain = lambda t: library.encode(t or "", add_special_tokens=False).ids
     for _ in range(2):  # with empty and with filled tables
-        assert [np.frombuffer(b, "<u2").tolist() for b in own.packed(texts())] == [plain(t) for t in texts()]
-    assert all(len(w) <= wordids.CACHE_LENGTH for w in own.words)
+        assert [np.frombuffer(b, "<u2").tolist() for b in own.packed(pa.array(texts()))] == [plain(t) for t in texts()]
+    assert all(len(w) <= wordids.CACHE_LENGTH for w in own.parts)
 
 
 def test_every_character_of_the_quick_path(library):
     own = wordids.WordIds(wordids.public_vocabulary())
-    quick = [c for c in map(chr, range(0x2200)) if not wordids._OTHER.search(c)]
+    quick = [c for c in map(chr, range(0x2200)) if not re.search(wordids.OTHER, c)]
     assert len(quick) > 500
     for c in (f"a{c}b {c}{c} 'S{c}" for c in quick):
-        assert np.frombuffer(own.packed([c])[0], "<u2").tolist() == library.encode(c, add_special_tokens=False).ids, c
+        assert np.frombuffer(own.packed(pa.array([c]))[0], "<u2").tolist() == library.encode(c, add_special_tokens=False).ids, c
 
 
 def test_tables_start_anew(monkeypatch, library):
-    monkeypatch.setattr(wordids, "CACHE_WORDS", 3)
+    monkeypatch.setattr(wordids, "CACHE_PARTS", 2)
     own = wordids.WordIds(wordids.public_vocabulary())
     for t in texts()[8:60]:
-        assert np.frombuffer(own.packed([t])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(own.packed(pa.array([t], pa.string()))[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("sampled", [2000, 3])  # with a dictionary, and with too few texts for one
