@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quireline.llm import decontamination, fingerprints, htmltext, infilling, linededup, neardup, packing, quality, rollups, secrets, tokenfiles, toxicity
+from quireline.llm import decontamination, erasure, fingerprints, htmltext, infilling, linededup, neardup, packing, quality, rollups, secrets, tokenfiles, toxicity
 from quireline.llm.common import table
 
 
@@ -50,6 +50,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_cascading_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shop's clients, clicks, sales and lines stored as files, and the drawn masters' rows taken out of them."""
+    return erasure.query(*(table(spark, sf_dir, t.name) for t in erasure.SHOP))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and turned around, as digests of the output and of the text restored from it."""
     return infilling.digest(infilling.infilled(table(spark, sf_dir, "documents")))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_cascading_erasure": op11_cascading_erasure,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_token_files": op13_token_files,
 }
