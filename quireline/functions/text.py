@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quireline.functions.edits import edits
+
 
 def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -49,7 +51,7 @@ def cer(hyp: Column, ref: Column, half_even: bool = True) -> Column:
     Rounded to 6 digits, half to even unless told otherwise; it may be over 1.
     """
     n = F.length(ref)
-    share = F.levenshtein(F.coalesce(hyp, F.lit("")), ref) / n
+    share = edits(F.coalesce(hyp, F.lit("")), ref) / n
     return F.when(n > 0, (F.bround if half_even else F.round)(share, 6)).otherwise(F.lit(0.0))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quireline.config import CATEGORIES
+from quireline.operators.ranks import ranked
 
 
 def category_counts(records: DataFrame) -> DataFrame:
@@ -48,16 +49,15 @@ def classification_report(rows: DataFrame, label: str = "label", predicted: str
 
 
 def numbered(rows: DataFrame, name: str = "name") -> DataFrame:
-    """Rows by name with their index from 1, the total and how many are left. For listings: one task holds them."""
-    by = Window.orderBy(name)
-    total = F.count("*").over(Window.partitionBy())
-    return rows.select("*", F.row_number().over(by).alias("i"), total.alias("n"), (total - F.row_number().over(by)).alias("remaining"))
+    """Rows by name with their index from 1, the total and how many are left."""
+    out = ranked(rows, name, rank="_i", total="n")
+    return out.select(*rows.columns, (F.col("_i") + 1).cast("int").alias("i"), "n", (F.col("n") - F.col("_i") - 1).alias("remaining"))
 
 
 def folds(rows: DataFrame, label: str, key: Column, k: int = 5) -> DataFrame:
     """Stratified folds: rows of a label are dealt in turn in the order of a key, which should be a hash with an id behind it."""
-    order = Window.partitionBy(label).orderBy(key)
-    return rows.withColumn("fold", ((F.row_number().over(order) - 1) % k).cast("int"))
+    out = ranked(rows, key, by=(label,), rank="fold")
+    return out.withColumn("fold", (F.col("fold") % k).cast("int"))
 
 
 def weighted_median(rows: DataFrame, value: str, weight: str, *by: str) -> DataFrame:
