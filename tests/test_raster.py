@@ -90,8 +90,8 @@ def test_pdf_round_trip(spark, tmp_path):
     assert [(r.path[-5:], r.page_no, r.error is None) for r in got] == [("a.PDF", 1, True), ("a.PDF", 2, True), ("b.pdf", None, False)]
     assert bytes(got[0].data) == a.tobytes()
     assert [tuple(r) for r in files.texts(spark, str(tmp_path / "in")).collect()] == [("c.txt", "ab")]
-    sinks.quarantined(pdf.split(files.pdfs(spark, str(tmp_path / "in"))), str(tmp_path / "good"), str(tmp_path / "bad"))
-    assert spark.read.parquet(str(tmp_path / "good")).count() == 2 and spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    assert sinks.quarantined(pdf.split(files.pdfs(spark, str(tmp_path / "in"))), str(tmp_path / "sorted")) == {"good": 2, "bad": 1}
+    assert sinks.target(spark, str(tmp_path / "sorted"), "good").count() == 2 and sinks.target(spark, str(tmp_path / "sorted"), "bad").count() == 1
 
 
 def test_a_folder_that_fills(spark, tmp_path):
