@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+import uuid
+
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
-from quireline.ml import features, models
+from quireline.config import CATEGORIES
+from quireline.functions.text import basename
+from quireline.ml import features, models, search
 from quireline.operators import ocr as services
-from quireline.operators import orientation, reports
-from quireline.plans.catalog import Tables, query, rounded, training
+from quireline.operators import orientation, ranks, reports, routing, rules
+from quireline.plans.catalog import Tables, classified, query, rounded, training
 from quireline.raster import synthetic, udfs
+from quireline.sources import pagefiles, sinks
+from quireline.tables import shared_folder
 
 
 @query()
@@ -49,6 +55,51 @@ def lighten(t: Tables):
     return rounded(udfs.page_brightness(udfs.lightened(synthetic.frame(t.spark))).drop("image"))
 
 
+def _folder(t: Tables, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _stored(t: Tables) -> str:
+    """A folder of a PDF for each conversation, a page for each turn: a gray image one pixel high, of which the pixels are the text's bytes and a line feed."""
+    own = t("conversations").select(F.concat(F.col("conv_id").cast("string"), F.lit(".pdf")).alias("path"), "turn", F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).cast("binary").alias("data"))
+    numbered = ranks.ranked(own, "turn", "data", by=("path",), rank="page_no").withColumn("page_no", (F.col("page_no") + 1).cast("int"))
+    image = numbered.select("path", "page_no", F.lit("raw").alias("encoding"), F.length("data").alias("width"), F.lit(1).alias("height"), F.lit(1).alias("channels"), "data", F.lit(None).cast("string").alias("error"))
+    folder = _folder(t, "documents")
+    sinks.document_files(image, folder)
+    return folder
+
+
+def _found(t: Tables, folder: str):
+    return t.spark.read.format("binaryFile").load(folder).select("path")
+
+
+@query()
+def pages_through_files(t: Tables):
+    """Documents written as PDFs and read back by ranges of pages."""
+    own = pagefiles.pages(_found(t, _stored(t)))
+    return own.select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")
+
+
+@query()
+def pages_split_to_files(t: Tables):
+    """Documents' pages written as PDFs of their own and read back."""
+    folder = _folder(t, "pages")
+    sinks.page_files(pagefiles.pages(_found(t, _stored(t))), folder)
+    return pagefiles.pages(_found(t, folder)).select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")
+
+
+@query()
+def routed_records(t: Tables):
+    """Documents written by category: how many the manifest says, and how many there are."""
+    folder = _folder(t, "routed")
+    counts = sinks.routed(routing.by_category(classified(t, rules.extended())), folder, CATEGORIES)
+    said = t.spark.createDataFrame(list(counts.items()), "category string, n long")
+    own = t.spark.createDataFrame([], "category string, n_read long")
+    for c in CATEGORIES:
+        own = own.unionByName(sinks.target(t.spark, folder, c).agg(F.lit(c).alias("category"), F.count("*").alias("n_read")))
+    return said.join(own, "category")
+
+
 @query()
 def ocr_runs(t: Tables):
     pages = t("conversations").select(F.col("conv_id").cast("string").alias("path"), F.col("turn").cast("int").alias("page_no"), F.col("text").cast("binary").alias("content"))
@@ -57,28 +108,40 @@ def ocr_runs(t: Tables):
 
 def _rows(t: Tables):
     own = features.derived(training(t)).select("path", "label", *features.FEATURES)
-    return reports.folds(own, "label", F.struct(F.xxhash64("path", F.lit(models.SEED)), F.col("path"))).cache()
+    return reports.folds(own, "label", F.struct(F.xxhash64("path", F.lit(models.SEED)), F.col("path")))
 
 
-def _accuracies(t: Tables, estimator):
-    rows = _rows(t)
-    mean, std = models.cross_validated(rows, estimator)
-    return t.spark.createDataFrame([(mean, std, rows.count())], "cv_mean double, cv_std double, n long")
+def _searched(t: Tables, *names: str):
+    """The candidates of these names over all five folds."""
+    results = f"{shared_folder(t.spark)}/search-{uuid.uuid4().hex}"
+    return search.summary(search.searched(search.Assembled(_rows(t)), results, {n: search.CANDIDATES[n] for n in names or search.CANDIDATES}))
+
+
+@query()
+def model_search(t: Tables):
+    """Every candidate on every fold."""
+    return _searched(t).select("name", "cv_mean", "cv_std", "folds", "n", "is_best")
 
 
 @query()
 def train_rf(t: Tables):
-    return _accuracies(t, RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=50, maxDepth=5, minInstancesPerNode=5, seed=models.SEED))
+    return _searched(t, "rf_50_5").select("cv_mean", "cv_std", "n")
 
 
 @query()
 def train_lr(t: Tables):
-    return _accuracies(t, LogisticRegression(featuresCol="scaled", labelCol="y", regParam=0.001, standardization=False))
+    return _searched(t, "lr_1").select("cv_mean", "cv_std", "n")
 
 
 @query()
 def train_gbt_ovr(t: Tables):
-    return _accuracies(t, OneVsRest(featuresCol="features", labelCol="y", classifier=GBTClassifier(maxIter=50, maxDepth=4, seed=models.SEED)))
+    return _searched(t, "gb_50_4").select("cv_mean", "cv_std", "n")
+
+
+@query()
+def train_svm(t: Tables):
+    """The radial kernel."""
+    return _searched(t, "svm").select("cv_mean", "cv_std", "n")
 
 
 def _forest(t: Tables):
@@ -92,8 +155,12 @@ def predict(t: Tables):
 
 @query()
 def vote(t: Tables):
-    linear = models.fitted(_rows(t), LogisticRegression(featuresCol="scaled", labelCol="y", regParam=0.001, standardization=False))
-    return models.vote([_forest(t), linear], _rows(t), "path")
+    """All documents judged by the mean probability of four models that were fitted on all."""
+    rows = _rows(t)
+    own = search.Assembled(rows)
+    model = search.CANDIDATES["vote"](sum(own.sizes.values()), len(own.labels)).fit(own.table.drop("fold"))
+    names = F.array(*map(F.lit, own.labels))
+    return model.transform(search.vectors(rows, "path")).select("path", F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted"))
 
 
 @query()
