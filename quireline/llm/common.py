@@ -6,28 +6,18 @@ is written as a Parquet table into the folder that ``spark.checkpoint.dir`` name
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quireline.tables import opened, shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, which executors and driver share.
-
-    It is the session's own; only where none is set (tests, a laptop) a temporary one is made.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quireline-"))
-    return sc.getCheckpointDir()
-
-
 def durable(df: DataFrame, level: int = 3) -> DataFrame:
     """The same rows, written to a table in the shared folder and cut from their lineage; readers skip the columns they don't need.
 
@@ -54,10 +44,4 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def opened(folder: str):
-    """(pyarrow's filesystem, the path in it) of a folder that Spark names by an address or, on one machine, by a path."""
-    from pyarrow.fs import FileSystem, LocalFileSystem
-
-    if folder.startswith(("/", "file:/")):
-        return LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-    return FileSystem.from_uri(folder)
+__all__ = ["BROADCAST_ITEMS", "durable", "held_out", "opened", "shared_folder", "small", "table"]

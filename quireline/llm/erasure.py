@@ -391,7 +391,7 @@ def query(clients: DataFrame, clicks: DataFrame, sales: DataFrame, sale_lines: D
     folder = f"file:///{folder.removeprefix('file:').lstrip('/')}" if folder.startswith(("/", "file:/")) else folder
     order = lambda c: F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
     own = "_quireline_owner"  # sorts the lines; not stored
-    owners = sales.where("sale_id is not null").groupBy("sale_id").agg(F.min("client_id").alias(own))
+    owners = durable(sales.where("sale_id is not null").groupBy("sale_id").agg(F.min("client_id").alias(own)))  # so that a hot sale's lines can be split
     lines = sale_lines.join(owners, "sale_id", "left")
     by_client = {name: (rows, order(F.col("client_id")), rows.columns) for name, rows in (("clients", clients), ("clicks", clicks), ("sales", sales))}
     return erase({**by_client, "sale_lines": (lines, order(F.col(own)), sale_lines.columns)}, SHOP, victim_masters(clients, clicks), folder)
