@@ -55,17 +55,35 @@ def median(a: np.ndarray, size: int) -> np.ndarray:
     r = size // 2
     if size <= 7:
         return np.median(sliding_window_view(_pad(a, r, r, "edge"), (size, size)), axis=(2, 3)).astype(np.uint8)
-    half = size * size // 2
-    low, high = np.zeros(a.shape, np.int64), np.full(a.shape, 255, np.int64)
-    for _ in range(8):  # the level at which the count of lower ones passes half, by bisection over whole images
-        middle = (low + high) // 2
-        below = np.zeros(a.shape)
-        for level in np.unique(middle):
-            here = middle == level
-            below[here] = (box_mean((a <= level).astype(np.float64), size) * size * size)[here]
-        right = np.rint(below) > half
-        high, low = np.where(right, middle, high), np.where(right, low, middle + 1)
-    return high.astype(np.uint8)
+    half, kind, padded = size * size // 2, np.uint16 if size < 256 else np.uint32, _pad(a, r, r, "edge")
+    out = np.empty(a.shape, np.uint8)
+    for top in range(0, a.shape[0], MEDIAN_ROWS):
+        own = padded[top : top + MEDIAN_ROWS + 2 * r]
+        levels = np.unique(own)
+        low = np.zeros(out[top : top + MEDIAN_ROWS].shape, np.int16)
+        high = np.full_like(low, len(levels) - 1)
+        while (open_ := low < high).any():  # each pixel's level by bisection; a level that several ask for is counted once
+            middle = (low + high) >> 1
+            for level in np.unique(middle[open_]):
+                here = open_ & (middle == level)
+                right = _box_count(own <= levels[level], size, kind) > half
+                high[here & right], low[here & ~right] = level, level + 1
+        out[top : top + MEDIAN_ROWS] = levels[low]
+    return out
+
+
+#: Rows whose medians are sought together: few have few different levels to ask for.
+MEDIAN_ROWS = 96
+
+
+def _box_count(mask: np.ndarray, size: int, kind: type) -> np.ndarray:
+    """How many of size x size are set; running sums may overflow, as their differences don't."""
+    down = np.zeros((mask.shape[0] + 1, mask.shape[1]), kind)
+    np.cumsum(mask, axis=0, dtype=kind, out=down[1:])
+    down = down[size:] - down[:-size]
+    over = np.zeros((down.shape[0], down.shape[1] + 1), kind)
+    np.cumsum(down, axis=1, dtype=kind, out=over[:, 1:])
+    return over[:, size:] - over[:, :-size]
 
 
 def otsu_level(a: np.ndarray) -> int:
@@ -300,19 +318,52 @@ def clahe(a: np.ndarray, clip: float = 2.0, tiles: int = 8) -> np.ndarray:
     return np.clip(np.rint(top * (1 - fy) + bottom * fy), 0, 255).astype(np.uint8)
 
 
+def _window_sum(a: np.ndarray, size: int, axis: int) -> np.ndarray:
+    """Sums of ``size`` neighbours along an axis, made of sums of 1, 2, 4 and so on."""
+    cut = lambda x, begin, n: x[begin : begin + n] if axis == 0 else x[:, begin : begin + n]
+    n, total, at, power, sums = a.shape[axis] - size + 1, None, 0, 1, a
+    while True:
+        if size & power:
+            part = cut(sums, at, n)
+            total, at = part if total is None else total + part, at + power
+        if 2 * power > size:
+            return total
+        m = sums.shape[axis] - power
+        sums, power = cut(sums, 0, m) + cut(sums, power, m), 2 * power
+
+
+#: Pixels that are denoised together, so that what is summed stays near the processor.
+STRIP = 1 << 17
+
+
 def denoised(a: np.ndarray, h: float, patch: int = 7, window: int = 21) -> np.ndarray:
-    """Non-local means: each pixel a mean of the window's, weighed by how alike their patches are."""
-    r = window // 2
-    src = a.astype(np.float64)
-    padded = _pad(src, r, r)
-    total, weight = np.zeros(a.shape), np.zeros(a.shape)
-    for dy in range(window):
-        for dx in range(window):
-            other = padded[dy : dy + a.shape[0], dx : dx + a.shape[1]]
-            k = np.exp(-box_mean((src - other) ** 2, patch) / (h * h))
-            total += k * other
-            weight += k
-    return np.clip(np.rint(total / weight), 0, 255).astype(np.uint8)
+    """Non-local means: each pixel a mean of the window's, weighed by how alike their patches are.
+
+    Two pixels are as alike from one as from the other, so half of the window's places are compared and count for both; strips
+    of rows are gone through one by one.
+    """
+    r, p = window // 2, patch // 2
+    padded = _pad(a, r + p, r + p).astype(np.float32)
+    out, rows, w = np.empty(a.shape, np.uint8), max(16, STRIP // max(1, a.shape[1])), a.shape[1]
+    for top in range(0, a.shape[0], rows):
+        n = min(rows, a.shape[0] - top)
+        own = padded[top : top + n + 2 * (r + p)]
+        near = own[p : p + n + 2 * r, p : p + w + 2 * r]  # the strip and half a window around it
+        total, weight = near[r : r + n, r : r + w].copy(), np.ones((n, w), np.float32)
+        for dy in range(r + 1):
+            for dx in range(-r if dy else 1, r + 1):
+                # how alike each pixel is to the one a step on: those of the strip, and those a step before them
+                y, x, height, width = r - dy, r - max(dx, 0), n + dy + 2 * p, w + abs(dx) + 2 * p
+                d = own[y : y + height, x : x + width] - own[y + dy : y + dy + height, x + dx : x + dx + width]
+                d *= d
+                alike = np.exp(_window_sum(_window_sum(d, patch, 0), patch, 1) * np.float32(-1 / (patch * patch * h * h)))
+                on, back = alike[dy:, max(dx, 0) : max(dx, 0) + w], alike[:n, max(-dx, 0) : max(-dx, 0) + w]
+                total += on * near[r + dy : r + dy + n, r + dx : r + dx + w]
+                total += back * near[r - dy : r - dy + n, r - dx : r - dx + w]
+                weight += on
+                weight += back
+        out[top : top + n] = np.clip(np.rint(total / weight), 0, 255)
+    return out
 
 
 def normalised(a: np.ndarray) -> np.ndarray:

@@ -124,3 +124,37 @@ def test_straight_lines_search_every_angle(monkeypatch):
     page = np.full((200, 300, 3), 255, np.uint8)
     page[50:54, 20:280] = page[100:104, 20:280] = 0
     assert pages.skew_angle(page) == -35.0 and min(tried[:71]) == -35 and max(tried) == 35
+
+
+def plain_means(a, h, patch, window):
+    """Pixel by pixel, over the mirrored page."""
+    r, p = window // 2, patch // 2
+    b = np.pad(a.astype(float), r + p, mode="reflect")
+    out = np.empty(a.shape)
+    for i in range(a.shape[0]):
+        for j in range(a.shape[1]):
+            y, x = i + r + p, j + r + p
+            own, total, weight = b[y - p : y + p + 1, x - p : x + p + 1], 0.0, 0.0
+            for dy in range(-r, r + 1):
+                for dx in range(-r, r + 1):
+                    k = np.exp(-((own - b[y + dy - p : y + dy + p + 1, x + dx - p : x + dx + p + 1]) ** 2).mean() / h**2)
+                    total, weight = total + k * b[y + dy, x + dx], weight + k
+            out[i, j] = total / weight
+    return out
+
+
+@pytest.mark.parametrize("strip", [1, 1 << 17])
+@pytest.mark.parametrize(("patch", "window"), [(3, 5), (7, 9), (1, 3)])
+def test_means_of_alike_pixels(monkeypatch, strip, patch, window):
+    monkeypatch.setattr(K, "STRIP", strip)  # 16 rows at least
+    a = np.random.default_rng(patch).integers(0, 256, (37, 23)).astype(np.uint8)
+    a[:, 10:] //= 8
+    assert np.abs(K.denoised(a, 20.0, patch, window) - plain_means(a, 20.0, patch, window)).max() <= 0.51
+
+
+@pytest.mark.parametrize("size", [9, 15, 31, 301])
+def test_median_of_large_windows(size):
+    a = np.random.default_rng(size).choice([0, 3, 7, 90, 91, 200, 255], (41, 33)).astype(np.uint8)
+    b = np.pad(a, size // 2, mode="edge")
+    want = np.array([[np.median(b[i : i + size, j : j + size]) for j in range(33)] for i in range(41)])
+    assert (K.median(a, size) == want).all()
