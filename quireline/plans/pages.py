@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from quireline.config import CATEGORIES
 from quireline.functions.text import basename
-from quireline.ml import features, models, search
+from quireline.ml import features, inference, models, search
 from quireline.operators import ocr as services
 from quireline.operators import orientation, ranks, reports, routing, rules
-from quireline.plans.catalog import Tables, classified, query, rounded, training
+from quireline.plans.catalog import Tables, classified, documents, query, rounded, training
 from quireline.raster import synthetic, udfs
 from quireline.sources import pagefiles, sinks
 from quireline.tables import shared_folder
@@ -153,6 +154,15 @@ def predict(t: Tables):
     return models.predicted(_forest(t), _rows(t), "path").withColumn("proba", F.map_values("proba"))
 
 
+@query()
+def infer_documents(t: Tables):
+    """A model that was saved and read again judges all documents; its label stands beside the rules' category and reason."""
+    own, path = search.Assembled(_rows(t)), _folder(t, "model")
+    inference.Bundle(Pipeline(stages=[search.forest(20, 5)]).fit(own.table.drop("fold")), own.labels, list(features.FEATURES)).save(path)
+    out = inference.inferred(documents(t), inference.load(t.spark, path), rules.decide(rules.extended()), "path")
+    return out.select("path", "predicted", F.transform(F.map_values("proba"), lambda x: F.round(x, 6)).alias("proba"), "category", "reason")
+
+
 @query()
 def vote(t: Tables):
     """All documents judged by the mean probability of four models that were fitted on all."""
