@@ -2,7 +2,42 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from collections.abc import Callable
+from dataclasses import dataclass, fields
+from typing import Any
+
+PREFIX = "quireline"
+
+
+def overridden(kind: type, get: Callable[[str], str | None] | None = None, **given: Any):
+    """Parameters of a kind: those that are given, else what the session says, else the environment, else the defaults.
+
+    The session's key of ``LightenParams.long_side`` is ``quireline.LightenParams.long_side`` (``get``: ``spark.conf``'s, which
+    gives null for what isn't set), the environment's ``QUIRELINE_LIGHTENPARAMS_LONG_SIDE``. A value is read as its default's type;
+    one that can't be is an error that names its key.
+    """
+    out = {}
+    for f in fields(kind):
+        key = f"{PREFIX}.{kind.__name__}.{f.name}"
+        said = get(key) if get else None
+        said = os.environ.get(key.replace(".", "_").upper()) if said is None else said
+        if said is not None and f.name not in given:
+            try:
+                out[f.name] = _read(said, f.default)
+            except ValueError as e:
+                raise ValueError(f"{key}: {e}") from e
+    return kind(**{**out, **given})
+
+
+def _read(said: str, like: Any) -> Any:
+    if isinstance(like, bool):
+        if said.lower() not in ("true", "false"):
+            raise ValueError(f"true or false, not {said!r}")
+        return said.lower() == "true"
+    if isinstance(like, tuple):
+        return tuple(x.strip() for x in said.split(",") if x.strip())
+    return type(like)(said) if isinstance(like, (int, float)) else said
 
 
 @dataclass(frozen=True)

@@ -71,6 +71,12 @@ def all_pages(pages: DataFrame, metrics: DataFrame, page: tuple[str, ...] = ("pa
     return out.fillna(0.0, list(PAGE_TEXT_METRICS)).fillna(0, ["words", "text_blocks"])
 
 
+def unread_pages(pages: DataFrame) -> DataFrame:
+    """Every page with zeros for its text metrics: records of a reader that doesn't measure them."""
+    zeros = {name: F.lit(0.0) for name in PAGE_TEXT_METRICS}
+    return pages.withColumns({**zeros, "words": F.lit(0), "text_blocks": F.lit(0)})
+
+
 def document_metrics(pages: DataFrame, doc: str = "path") -> DataFrame:
     """A document's record from its pages: means, medians of medians, sums and any."""
     return pages.groupBy(doc).agg(

@@ -285,6 +285,19 @@ def lightened_more(image: np.ndarray, p: AdvancedLightenParams = AdvancedLighten
     return _as(image, _unsharp(light, 1 + p.unsharp, 1.0, edge), before, p.keep_color)
 
 
+def filled(image: np.ndarray, boxes: list[tuple[int, int, int, int]], ring: int = 4) -> np.ndarray:
+    """The image with boxes (x, y, width, height) painted over in the colour around each: the median of a ring, white where there is none."""
+    out = image.copy()
+    for x, y, w, h in boxes:
+        y0, y1, x0, x1 = max(y, 0), min(y + h, image.shape[0]), max(x, 0), min(x + w, image.shape[1])
+        if y0 < y1 and x0 < x1:
+            around = np.zeros(image.shape[:2], bool)
+            around[max(y0 - ring, 0) : y1 + ring, max(x0 - ring, 0) : x1 + ring] = True
+            around[y0:y1, x0:x1] = False
+            out[y0:y1, x0:x1] = np.median(image[around], axis=0) if around.any() else 255
+    return out
+
+
 def gray_opened(a: np.ndarray, size: int) -> np.ndarray:
     """Gray opening by an octagon of about that width: lines along both axes after one another."""
     from numpy.lib.stride_tricks import sliding_window_view

@@ -120,3 +120,32 @@ def turned(df: DataFrame, angle: str = "angle") -> DataFrame:
 
 def lightened(df: DataFrame, n: int = 2, p: LightenParams | AdvancedLightenParams = LightenParams()) -> DataFrame:
     return _changed(df, lambda a: pages.passes(a, n, p))
+
+
+def without_stamps(df: DataFrame, stamps: str = "stamps", conf_threshold: float = 0.8) -> DataFrame:
+    """Pages with the stamps that a detector found (an array of x, y, w, h, conf) painted over, ``num_stamps`` of them, and ``error``.
+
+    Null stamps are none; a page that has an error stays as it is with 0 of them.
+    """
+    kept = [c for c in df.columns if c != "error"]
+    had = "error" in df.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            images, counts, errors = [], [], []
+            for k, (image, found) in enumerate(zip(frame["image"], frame[stamps], strict=True)):
+                error, n = (frame["error"].iloc[k] if had else None), 0
+                if error is None and image is not None:
+                    try:
+                        boxes = [(b["x"], b["y"], b["w"], b["h"]) for b in (found if found is not None else []) if b["conf"] is not None and b["conf"] >= conf_threshold]
+                        image, n = struct(pages.filled(array(image), boxes)), len(boxes)
+                    except Exception as e:
+                        error = f"{type(e).__name__}: {e}"
+                images.append(image)
+                counts.append(n)
+                errors.append(error)
+            out = frame[kept].copy()
+            out["image"], out["num_stamps"], out["error"] = images, counts, pd.Series(errors, index=frame.index, dtype=object)
+            yield out
+
+    return df.mapInPandas(run, ", ".join(f"`{c}` {kind}" for c, kind in df.select(*kept).dtypes) + ", num_stamps int, error string")

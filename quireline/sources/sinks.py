@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import struct
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from quireline.sources.filesink import named_files
 from quireline.tables import opened
@@ -88,6 +91,31 @@ def document_files(pages: DataFrame, folder: str) -> None:
     named_files(pages.where("error is null").withColumn("name", basename(F.col("path"))), folder, "page_no", kind="pdf")
 
 
+def png(height: int, width: int, channels: int, data: bytes) -> bytes:
+    """A PNG of a gray (1), BGR (3) or BGRA (4) image."""
+    import numpy as np
+
+    a = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    a = a if channels == 1 else a[..., [2, 1, 0, 3][:channels]]
+    rows = np.concatenate([np.zeros((height, 1), np.uint8), a.reshape(height, -1)], axis=1)
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    head = struct.pack(">IIBBBBB", width, height, 8, {1: 0, 3: 2, 4: 6}[channels], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
+
+
+def image_files(pages: DataFrame, folder: str, suffix: str = "_clean") -> None:
+    """The image of each page (path, image) that has no error, as ``{stem}{suffix}.png``; of a path's several pages a name each by their number."""
+    from quireline.functions.text import stem
+
+    @F.pandas_udf(BinaryType())
+    def encoded(image):
+        return image.apply(lambda r: None if r["data"] is None else png(r["height"], r["width"], r["nChannels"], bytes(r["data"])), axis=1)
+
+    number = F.when(F.coalesce("page_no", F.lit(1)) > 1, F.concat(F.lit("_"), F.col("page_no").cast("string"))).otherwise("")
+    own = pages.where("error is null and image is not null")
+    named_files(own.select(F.concat(stem(F.col("path")), number, F.lit(f"{suffix}.png")).alias("name"), encoded("image").alias("content")), folder)
+
+
 def observed(rows: DataFrame, done: Callable[[dict], None], **metrics: Column) -> tuple[DataFrame, Callable[[], None]]:
     """(rows that count metrics as they pass, a call that hands the metrics to ``done`` once the rows were written)."""
     seen = Observation(f"observed-{uuid.uuid4().hex}")

@@ -2,7 +2,7 @@
 
 import math
 
-from quireline.ml import grid, models
+from quireline.ml import grid, search
 from quireline.plans import catalog, pages
 from quireline.raster import synthetic
 
@@ -13,10 +13,11 @@ def test_the_whole_grid(spark, sf):
 
 def test_every_fold_is_scored(spark, sf, monkeypatch):
     asked = []
-    monkeypatch.setattr(models, "cross_validated", lambda rows, estimator, k=5: asked.append((k, estimator)) or (0.0, 0.0))
-    for name in ("train_rf", "train_lr", "train_gbt_ovr"):
+    scored = spark.createDataFrame([(0, "a", 0, 1, 1, 0.0)], search.RESULTS)
+    monkeypatch.setattr(search, "searched", lambda rows, results, candidates: asked.append((rows.folds, list(candidates))) or scored)
+    for name in ("train_rf", "train_lr", "train_gbt_ovr", "train_svm", "model_search"):
         catalog.QUERIES[name](spark, sf)
-    assert [k for k, _ in asked] == [5, 5, 5] and asked[2][1].getClassifier().getMaxIter() == 50
+    assert asked == [([0, 1, 2, 3, 4], names) for names in (["rf_50_5"], ["lr_1"], ["gb_50_4"], ["svm"], list(search.CANDIDATES))] and len(search.CANDIDATES) == 13
 
 
 def test_every_drawn_page_is_deskewed(spark, sf):
