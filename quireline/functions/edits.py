@@ -22,9 +22,7 @@ BAND = 64
 
 def _whole(a: str, b: str) -> int:
     """Distance by all cells; columns run along ``a``."""
-    bits: dict[str, int] = {}
-    for c in set(a):
-        bits[c] = int("".join("1" if x == c else "0" for x in reversed(a)), 2) if len(a) < 64 else _bits(a, c)
+    bits = {c: _bits(a, c) for c in set(a)}
     last, every = len(a) - 1, (1 << len(a)) - 1
     up, down, score = every, 0, len(a)
     for c in b:
