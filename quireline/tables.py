@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only where it names none (tests, a laptop) a temporary one is made."""
+    """The session's checkpoint folder. Where it names none a local session (tests, a laptop) gets a temporary one; on a cluster that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quireline-"))
+        given = sc.getConf().get("spark.checkpoint.dir")
+        if not given and sc.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="quireline-"))
     return sc.getCheckpointDir()
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from quireline import tables
 from quireline.operators import ranks, reports
 
 
@@ -64,3 +65,17 @@ def test_folds_and_numbers(frame):
         assert [f for _, _, f in own] == [k % 5 for k in range(len(own))]
     few = frame.where("i < 30").select(F.format_string("n%02d", "i").alias("name"))
     assert sorted((r.name, r.i, r.n, r.remaining) for r in reports.numbered(few).collect()) == [(f"n{k:02d}", k + 1, 30, 29 - k) for k in range(30)]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        tables.shared_folder(type("Session", (), {"sparkContext": Context()})())
