@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from quireline.config import CATEGORIES
-from quireline.functions.text import basename
+from quireline.functions.text import basename, page_name
 from quireline.ml import features, inference, models, search
 from quireline.operators import ocr as services
 from quireline.operators import orientation, ranks, reports, routing, rules
@@ -70,14 +70,19 @@ def _stored(t: Tables) -> str:
     return folder
 
 
-def _found(t: Tables, folder: str):
-    return t.spark.read.format("binaryFile").load(folder).select("path")
+def _in(folder: str, names):
+    """The files of these names, without a listing of the folder."""
+    return names.select(F.concat(F.lit(f"{folder}/"), "name").alias("path")).distinct()
+
+
+def _documents(t: Tables):
+    return _in(_stored(t), t("conversations").select(F.concat(F.col("conv_id").cast("string"), F.lit(".pdf")).alias("name")))
 
 
 @query()
 def pages_through_files(t: Tables):
     """Documents written as PDFs and read back by ranges of pages."""
-    own = pagefiles.pages(_found(t, _stored(t)))
+    own = pagefiles.pages(_documents(t))
     return own.select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")
 
 
@@ -85,8 +90,10 @@ def pages_through_files(t: Tables):
 def pages_split_to_files(t: Tables):
     """Documents' pages written as PDFs of their own and read back."""
     folder = _folder(t, "pages")
-    sinks.page_files(pagefiles.pages(_found(t, _stored(t))), folder)
-    return pagefiles.pages(_found(t, folder)).select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")
+    whole = pagefiles.pages(_documents(t))
+    sinks.page_files(whole, folder)
+    names = whole.select(page_name(basename(F.col("path")), F.col("page_no")).alias("name"))
+    return pagefiles.pages(_in(folder, names)).select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")
 
 
 @query()
