@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quireline import tables
 from quireline.operators import detections
-from quireline.plans import catalog
+from quireline.plans import catalog, pages
 
 
 @pytest.mark.parametrize(("together", "least"), [(500, 12), (2000, 4)])
@@ -23,3 +23,12 @@ def test_detections_and_pages_are_dealt_by_their_number(spark, sf, monkeypatch,
 def test_an_empty_table_is_dealt_too(spark, sf):
     none = catalog.Tables(spark, sf)("orders").limit(0)
     assert tables.tasks(none) == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["predict", "infer_documents"])
+def test_documents_are_made_once(spark, sf, monkeypatch, name):
+    made = []
+    for module in (catalog, pages):
+        monkeypatch.setattr(module, "documents", lambda t, f=module.documents: made.append(1) or f(t))
+    got = catalog.QUERIES[name](spark, sf)
+    assert len(made) == 1 and got.count() == catalog.documents(catalog.Tables(spark, sf)).count()
