@@ -90,7 +90,7 @@ def pages_through_files(t: Tables):
 def pages_split_to_files(t: Tables):
     """Documents' pages written as PDFs of their own and read back."""
     folder = _folder(t, "pages")
-    whole = pagefiles.pages(_documents(t))
+    whole = written(pagefiles.pages(_documents(t)))  # read once, for the files and for their names
     sinks.page_files(whole, folder)
     names = whole.select(page_name(basename(F.col("path")), F.col("page_no")).alias("name"))
     return pagefiles.pages(_in(folder, names)).select(basename(F.col("path")).alias("name"), "page_no", "width", F.md5("data").alias("digest"), "error")

@@ -15,21 +15,35 @@ from pyspark.sql import functions as F
 from quireline.sources.pdf import Index, page_images
 from quireline.tables import opened
 
-#: Pages of a range.
+#: Pages of a range; rows and bytes of a batch, about.
 TOGETHER = 64
+ROWS, BYTES = 256, 1 << 22
 
 _RANGE = pa.schema([("path", pa.string()), ("first", pa.int32()), ("last", pa.int32()), ("error", pa.string())])
 _PAGE = pa.schema([("path", pa.string()), ("page_no", pa.int32()), ("encoding", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("channels", pa.int32()), ("data", pa.binary()), ("error", pa.string())])
 PAGES = "path string, page_no int, encoding string, width int, height int, channels int, data binary, error string"
 
 
+def batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches that are bounded by rows and, to one row, by bytes: a batch a row costs more than small rows do."""
+    own, held = [], 0
+    for row in rows:
+        own.append(row)
+        held += sum(len(v) for v in row if isinstance(v, bytes))
+        if len(own) >= ROWS or held >= BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*own, strict=True), schema, strict=True)], schema=schema)
+            own, held = [], 0
+    if own:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*own, strict=True), schema, strict=True)], schema=schema)
+
+
 def ranges(files: DataFrame, together: int = TOGETHER) -> DataFrame:
     """path, first, last, error: the pages of each file (path) in ranges, counted from 0, ``last`` not in it.
 
     A file without a plain table of offsets is one range without an end; one that can't be read has its error.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 try:
@@ -46,7 +60,10 @@ def ranges(files: DataFrame, together: int = TOGETHER) -> DataFrame:
                     out = [(path, k, min(k + together, n), None) for k in range(0, n, together)] if n else [(path, 0, None, None)]
                 except Exception as e:
                     out = [(path, None, None, f"{type(e).__name__}: {e}")]
-                yield pa.RecordBatch.from_pylist([dict(zip(_RANGE.names, r, strict=True)) for r in out], _RANGE)
+                yield from out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(found(batches), _RANGE)
 
     return files.select(F.col("path").cast("string")).mapInArrow(run, "path string, first int, last int, error string")
 
@@ -74,14 +91,18 @@ def pages(files: DataFrame, together: int = TOGETHER, data: bool = True) -> Data
                 except Exception as e:
                     yield k + 1, None, f"{type(e).__name__}: {e}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for path, first, last, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 try:
                     for k, page, wrong in of(path, first, last) if error is None else ((None, None, error),):
                         own = (*page[:4], page[4] if data else None) if page else (None,) * 5
-                        yield pa.RecordBatch.from_pylist([dict(zip(_PAGE.names, (path, k, *own, wrong), strict=True))], _PAGE)
+                        yield (path, k, *own, wrong)
                 except Exception as e:
-                    yield pa.RecordBatch.from_pylist([dict(zip(_PAGE.names, (path, None, *(None,) * 5, f"{type(e).__name__}: {e}"), strict=True))], _PAGE)
+                    yield (path, None, *(None,) * 5, f"{type(e).__name__}: {e}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(read(batches), _PAGE)
 
-    return ranges(files, together).repartition(tasks).mapInArrow(run, PAGES)
+    dealt = files.repartition(tasks)  # names are few bytes, so a shuffle before would have left them to one task
+    return ranges(dealt, together).repartition(tasks).mapInArrow(run, PAGES)

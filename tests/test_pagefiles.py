@@ -196,3 +196,22 @@ def test_queries_over_files(spark, sf):
     counts = {r.category: r.n for r in QUERIES["category_counts"](spark, sf).collect()}
     kept = {r.category: (r.n, r.n_read) for r in QUERIES["routed_records"](spark, sf).collect()}
     assert set(kept) == set(counts) and all(a == b for a, b in kept.values()) and sum(a for a, _ in kept.values()) == sum(counts.values())
+
+
+def test_rows_come_in_bounded_batches():
+    row = lambda k, data: (f"{k}", k, "raw", 1, 1, 1, data, None)
+    small = list(pagefiles.batched((row(k, b"x") for k in range(600)), pagefiles._PAGE))
+    assert [b.num_rows for b in small] == [256, 256, 88] and [r["page_no"] for b in small for r in b.to_pylist()] == list(range(600))
+    large = list(pagefiles.batched((row(k, bytes(3 << 20)) for k in range(5)), pagefiles._PAGE))
+    assert [b.num_rows for b in large] == [2, 2, 1] and not list(pagefiles.batched(iter(()), pagefiles._PAGE))
+
+
+def test_pages_are_read_once(spark, sf, monkeypatch):
+    from quireline.plans import catalog
+    from quireline.plans import pages as plans
+
+    read, written = [], plans.written
+    monkeypatch.setattr(plans, "written", lambda df: read.append(df.columns) or written(df))
+    split = plans.pages_split_to_files(catalog.Tables(spark, sf))
+    assert len(read) == 1 and "data" in read[0] and split.where("error is not null").count() == 0
+    assert split.count() == spark.read.parquet(f"{sf}/conversations.parquet").count()
