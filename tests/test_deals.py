@@ -20,6 +20,16 @@ def test_detections_and_pages_are_dealt_by_their_number(spark, sf, monkeypatch,
     assert sorted(map(tuple, catalog.page_ocr_metrics(t).collect())) == want
 
 
+@pytest.mark.parametrize(("together", "least"), [(100, 15), (300, 5)])
+def test_pages_of_documents_are_dealt_by_their_number(spark, sf, monkeypatch, together, least):
+    t, joined = catalog.Tables(spark, sf), []
+    monkeypatch.setattr(tables, "TOGETHER", together)
+    monkeypatch.setattr(detections, "document_metrics", lambda pages, f=detections.document_metrics: joined.append(pages) or f(pages))
+    got = catalog.training_rows(t)  # topk_importance, derived_features, routed_records and the trained queries read the same documents
+    assert got.count() == t("orders").select("o_custkey").distinct().count()
+    assert [df.groupBy(F.spark_partition_id()).count().count() >= least for df in joined] == [True]
+
+
 def test_an_empty_table_is_dealt_too(spark, sf):
     none = catalog.Tables(spark, sf)("orders").limit(0)
     assert tables.tasks(none) == spark.sparkContext.defaultParallelism
