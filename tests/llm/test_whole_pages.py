@@ -123,3 +123,29 @@ def test_small_table_gives_the_articles(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     marked = {r.page_id: "\n".join(t for t, kind in htmltext.blocks(r.html) if kind == htmltext.INSIDE) for r in pages.collect()}
     assert {r.page_id: r.text for r in htmltext.extract(pages).collect()} == marked
+
+
+def test_a_run_that_one_shard_repeats_is_met_by_the_page_of_another(spark, monkeypatch):
+    """Three pages a host over two shards: where two are in one, the third has the run alone in its own."""
+    monkeypatch.setattr(htmltext, "SHARD", 50)
+    rng = random.Random(21)
+    pages, want = [], []
+    for h in range(10):
+        notice = words(rng, 10)
+        for _ in range(3):
+            want.append(words(rng, 20))
+            pages.append((f"http://h{h}.example/", f"<p>{want[-1]}</p><p>{notice}</p>"))
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    assert [got[k] for k in range(len(want))] == want
+
+
+@pytest.mark.parametrize("shard", [1, htmltext.SHARD])
+@pytest.mark.parametrize("around", ['<div class="lead">{}</div><article>{}</article>', '<div class="nav">{}</div><article>{}</article>'])
+def test_short_blocks_are_met_across_shards(spark, monkeypatch, shard, around):
+    monkeypatch.setattr(htmltext, "SHARD", shard)
+    rng = random.Random(22)
+    want = [words(rng, 20) for _ in range(12)]
+    pages = [(k, f"http://a.example/{k}", around.format("three words here", f"<p>{t}</p>")) for k, t in enumerate(want)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(len(want))] == want
